@@ -77,7 +77,7 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = 2048) -> DataFra
     by_length = starts.groupBy("n_tokens").agg(F.sort_array(F.collect_list(F.struct("first", "last", "shift"))).alias("ranges"))
 
     rank = F.row_number().over(Window.partitionBy("n_tokens", "slot").orderBy("__key", "piece_no")) - 1 + F.coalesce("before", F.lit(0))
-    ranked = pieces.where("n_tokens > 0").join(F.broadcast(before.select("n_tokens", "slot", "before")), ["n_tokens", "slot"]).withColumn("rank", rank)
+    ranked = pieces.where("n_tokens > 0").join(before.select("n_tokens", "slot", "before"), ["n_tokens", "slot"]).withColumn("rank", rank)
     placed = ranked.join(F.broadcast(by_length), "n_tokens").select(
         "__key",
         "piece_no",

@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.llm.canonical import map_column
 from sieveline.llm.dartminhash import NearDuplicates
 from sieveline.llm.incremental import reject_repeats
+from sieveline.llm.multiindex import nearest_vectors
 from sieveline.llm.packing import pack
+from sieveline.llm.pii import find_personal_data, pseudonymise_personal_data, redact_personal_data
+from sieveline.llm.splitting import round_labels, split_texts
 from sieveline.llm.tokenizer import encode_column
 from sieveline.plans.runtime import table
+from pyspark.sql import functions as F
 
 
 def _records(spark: SparkSession, d: str) -> NearDuplicates:
@@ -25,6 +30,42 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return _records(spark, d).groups()
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_personal_data(table(spark, d, "scraped_documents"), "record_no", "raw_content")
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return redact_personal_data(table(spark, d, "scraped_documents"), "record_no", "raw_content")
+
+
+def p2_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
+    return pseudonymise_personal_data(table(spark, d, "scraped_documents"), "record_no", "raw_content", secret="rotate me")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    logs, chunks = table(spark, d, "query_logs"), table(spark, d, "document_chunks")
+    return nearest_vectors(logs, "id", "query_embedding", chunks, "chunk_id", "embedding", k=5, least=0.55).select("id", "chunk_id")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return round_labels(table(spark, d, "processed_documents"), "document_id", "content", 500, 50)
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split_texts(table(spark, d, "processed_documents"), "document_id", "content", 500, 50)
+
+
+def p4_chunk_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split_texts(table(spark, d, "document_chunks"), "chunk_id", "chunk_text", 500, 50)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "processed_documents")
+    company = map_column(docs, "document_id", "company", table(spark, d, "companies"), "company_id", "company_name", "aliases")
+    role = map_column(docs, "document_id", "role", table(spark, d, "role_titles"), "role_id", "title", "aliases")
+    return company.select("document_id", F.lit("company").alias("field_name"), "ref_id").union(role.select("document_id", F.lit("role").alias("field_name"), "ref_id"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return reject_repeats(table(spark, d, "scraped_documents"), "record_no", "scrape_batch_id", "title", "raw_content", share=70, of=100, size=3)
 
@@ -39,7 +80,7 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_groups, p6_found, p7_ids, p8_containers)}
+    return {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_redacted, p2_pseudonyms, p3_found, p4_found, p4_pieces, p4_chunk_pieces, p5_found, p6_found, p7_ids, p8_containers)}
 
 
 def oracle_sql() -> dict[str, str]:
