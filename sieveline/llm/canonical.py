@@ -176,8 +176,7 @@ class Matcher:
             spelt = [x for t in words for x in SHORT_FORMS.get(t, t).split()]
             swapped = ["engineer" if t == "developer" else t for t in spelt]
             for form in (words, spelt, swapped):
-                bare = [t for t in form if t not in ADDITIONS]
-                if (bare or form) and (found := self.rank(bare or form, repaired, entries)):
+                if found := self.rank(form, repaired, entries):
                     return found
         return 0
 
@@ -188,7 +187,6 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
     An empty reference list maps everything to 0; repeated entries and aliases count once; of entries that
     rank alike none is taken.
     """
-    spark = values.sparkSession
     distinct = values.select(F.col(column).cast("string").alias("value")).where(F.col("value").rlike(r"\S")).distinct()
 
     def cut_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +259,16 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
     n_entries = entries.count()
     weighted = held.groupBy("word").agg(F.count("*").alias("df")).withColumn("weight", F.log(F.lit(1.0 + n_entries) / F.col("df")))
     most = math.log(1.0 + n_entries)
+    weights_of = held.join(weighted, "word").groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("word", "weight"))).alias("weights"))
+    known = staged(entries.select("entry", "forms").join(weights_of, "entry"), "p5-known")
     hits = (
         cut.select("value", F.explode("words").alias("token"))
         .join(repairs, "token")
-        .join(held.join(weighted, "word"), "word")
+        .join(held, "word")
         .groupBy("value")
-        .agg(F.collect_set(F.struct("token", "word", "likeness", "weight")).alias("repairs"), F.collect_set("entry").alias("ids"))
+        .agg(F.collect_set(F.struct("token", "word", "likeness")).alias("repairs"), F.collect_set("entry").alias("ids"))
     )
-    forms = hits.select("value", F.explode("ids").alias("entry")).join(entries.select("entry", "forms"), "entry").groupBy("value").agg(F.collect_list(F.struct("entry", "forms")).alias("entries"))
+    forms = hits.select("value", F.explode("ids").alias("entry")).join(known, "entry").groupBy("value").agg(F.collect_list(F.struct("entry", "forms", "weights")).alias("entries"))
     ready = cut.select("value", "parts").join(hits.select("value", "repairs"), "value", "left").join(forms, "value", "left")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,12 +279,13 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
                 weights = {}
                 for x in fixes or []:
                     repaired[x["token"]][x["word"]] = x["likeness"]
-                    weights[x["word"]] = x["weight"]
+                for x in listed_entries or []:
+                    weights.update(x["weights"])
                 out.append(Matcher(weights, most).match(found, repaired, {x["entry"]: x["forms"] for x in listed_entries or []}))
             yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(out, pa.int32())], names=["value", "ref_id"])
 
     decided = ready.mapInArrow(decide, "value string, ref_id int")
-    return staged(decided, "p5-decided").withColumnRenamed("value", column) if spark else decided
+    return staged(decided, "p5-decided").withColumnRenamed("value", column)
 
 
 def map_column(df: DataFrame, key: str, column: str, reference: DataFrame, entry_id: str, entry_name: str, entry_aliases: str) -> DataFrame:
