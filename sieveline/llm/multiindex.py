@@ -39,6 +39,25 @@ def valid_rows(column: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray
     return rows[good], np.ascontiguousarray(m[good])
 
 
+def packed(v: np.ndarray) -> bytes:
+    """The bytes of a float32 vector, without loss: two a value where the lower halves are all zero, as in
+    vectors stored with reduced precision, else four."""
+    u = v.view(np.uint32)
+    return v.tobytes() if (u & np.uint32(0xFFFF)).any() else (u >> np.uint32(16)).astype(np.uint16).tobytes()
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """The float32 matrix of a column of packed vectors."""
+    rows = column.to_pylist()
+    m = np.zeros((len(rows), width), np.uint32)
+    short = np.array([len(r) == 2 * width for r in rows], bool)
+    if short.any():
+        m[short] = np.frombuffer(b"".join(r for r in rows if len(r) == 2 * width), np.uint16).reshape(-1, width).astype(np.uint32) << np.uint32(16)
+    if not short.all():
+        m[~short] = np.frombuffer(b"".join(r for r in rows if len(r) != 2 * width), np.uint32).reshape(-1, width)
+    return m.view(np.float32)
+
+
 def unit(m: np.ndarray) -> np.ndarray:
     x = m.astype(np.float32)
     scale = np.abs(x).max(axis=1, keepdims=True)
@@ -135,7 +154,7 @@ def distinct_vectors(df: DataFrame, key: str, column: str, width: int, name: str
                 met.clear()
             digests, values = [], []
             for v in m:
-                data = v.tobytes()
+                data = packed(v)
                 d = xxhash.xxh128_digest(data)
                 digests.append(d)
                 values.append(None if d in met else data)
@@ -179,23 +198,20 @@ def nearest_vectors(
     smallest = Window.partitionBy("h1", "h2").orderBy(entry_key)
     few = entry_ids.distinct().withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k)
     carried = few.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(entry_key)).alias("ids"))
-    indexed = staged(entry_vectors.join(carried, ["h1", "h2"]), "p3-index")
-
-    total = indexed.count()
-    sample = indexed.orderBy("h1").limit(sample_rows).select("v").toArrow()  # h1 is a hash: an even sample
+    total = entry_vectors.select("h1").count()
     empty = spark.createDataFrame([], f"`{query_key}` {kinds[0]}, `{entry_key}` {kinds[1]}, cosine double")
     if not total:
         return empty
-    m = unit(np.frombuffer(b"".join(sample.column(0).to_pylist()), np.float32).reshape(-1, width))
-    quantiser = Quantiser(m, int(min(centroids, max(4, np.sqrt(total)))))
+    sample = entry_vectors.orderBy("h1").limit(sample_rows).select("v").toArrow()  # h1 is a hash: an even sample
+    quantiser = Quantiser(unit(unpacked(sample.column(0), width)), int(min(centroids, max(4, np.sqrt(total)))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.frombuffer(b"".join(batch.column("v").to_pylist()), np.float32).reshape(-1, width)
-            cell = quantiser.cells(unit(v)) if len(v) else np.empty(0, np.int64)
+            m = unpacked(batch.column("v"), width)
+            cell = quantiser.cells(unit(m)) if len(m) else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=[*batch.schema.names, "cell"])
 
-    placed = staged(indexed.mapInArrow(place, f"h1 bigint, h2 bigint, v binary, ids array<{kinds[1]}>, cell int"), "p3-cells")
+    placed = staged(entry_vectors.join(carried, ["h1", "h2"]).mapInArrow(place, f"h1 bigint, h2 bigint, v binary, ids array<{kinds[1]}>, cell int"), "p3-cells")
     counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most centroids**2 rows
     quantiser.arrange(counts, block // 4)
     enough = max(floor, int(share * total))
@@ -207,7 +223,7 @@ def nearest_vectors(
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = batch.column("v")
-            v = np.frombuffer(b"".join(data.to_pylist()), np.float32).reshape(-1, width)
+            v = unpacked(data, width)
             rows, regions, cells = [], [], []
             for i, walked in enumerate(quantiser.walk(unit(v), enough) if len(v) else ()):
                 by_region: dict[int, list[int]] = {}
@@ -241,8 +257,7 @@ def nearest_vectors(
     )
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        e = np.frombuffer(b"".join(left.column("v").to_pylist()), np.float32).reshape(-1, width)
-        q = np.frombuffer(b"".join(right.column("v").to_pylist()), np.float32).reshape(-1, width)
+        e, q = unpacked(left.column("v"), width), unpacked(right.column("v"), width)
         cell = left.column("cell").to_numpy()
         order = np.argsort(cell, kind="stable")
         eu, qu = unit(e[order]), unit(q) if len(q) else q
