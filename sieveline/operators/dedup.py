@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sieveline.functions.text import content_key, is_blank
 from sieveline.plans.runtime import table
 
 
-def content_key(text: Column) -> Column:
-    """SHA-256 of the text in lower case with runs of white space as one blank, ends stripped."""
-    return F.sha2(F.trim(F.regexp_replace(F.lower(text), r"\s+", " ")), 256)
-
-
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """The first row by ``order`` of every value of ``key``; a window rank that Catalyst turns into
     a group limit before the shuffle."""
@@ -21,7 +17,7 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def exact_dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").where(F.length(F.trim(F.col("text"))) > 0)
+    docs = table(spark, d, "documents").where(~is_blank(F.col("text")))
     keyed = docs.select("doc_id", "lang", "n_chars", content_key(F.col("text")).alias("content_hash"))
     return keep_first(keyed, "content_hash", "doc_id").select("doc_id", "lang", "n_chars", "content_hash")
 
@@ -32,7 +28,7 @@ SQL = {
     "exact_dedup_keep_first": r"""
         SELECT doc_id, lang, n_chars, content_hash FROM (
           SELECT doc_id, lang, n_chars, content_hash, row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) AS r
-          FROM (SELECT doc_id, lang, n_chars, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS content_hash
-                FROM documents WHERE length(trim(text)) > 0))
+          FROM (SELECT doc_id, lang, n_chars, sha256(regexp_replace(regexp_replace(lower(text), '[ \t\n\r\f\v]+', ' ', 'g'), '^ | $', '', 'g')) AS content_hash
+                FROM documents WHERE regexp_replace(text, '[ \t\n\r\f\v]+', '', 'g') <> ''))
         WHERE r = 1""",
 }
