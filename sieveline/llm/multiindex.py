@@ -102,7 +102,7 @@ class Quantiser:
         self.region = {}
         if len(cells):
             places = np.hstack([self.first[cells // width], self.second[cells % width]])
-            wanted = int(np.clip(np.ceil(sum(counts.values()) / region_rows), 1, min(len(cells), 256)))
+            wanted = int(np.clip(np.ceil(sum(counts.values()) / region_rows), 1, min(len(cells), 4096)))
             label = nearest(places, kmeans(places, wanted)) if wanted > 1 else np.zeros(len(cells), int)
             self.region = dict(zip(cells.tolist(), label.tolist(), strict=True))
         self.counts = counts
@@ -176,9 +176,9 @@ def nearest_vectors(
     k: int = 5,
     least: float = -1.0,
     width: int = 384,
-    centroids: int = 128,
-    sample_rows: int = 20_000,
-    share: float = 0.05,
+    centroids: float = 0.45,
+    sample_rows: int = 32_768,
+    reach: float = 0.85,
     floor: int = 2000,
     block: int = 8192,
 ) -> DataFrame:
@@ -187,8 +187,9 @@ def nearest_vectors(
 
     Vectors that are NULL, of another length, all zero, or hold NaN, infinite or NULL values take no
     part. Keys delivered twice count once; distinct entries may share a vector. Either table may be empty.
-    A query reranks at least ``floor`` entries and ``share`` of all; centroids come from a sample of
-    ``sample_rows`` distinct entries, all entries are indexed.
+    Each half has ``centroids * sqrt(n)`` centroids for n distinct entries (16 to 1024), from a sample of
+    ``sample_rows`` of them; all entries are indexed. A query reranks ``reach * n ** 0.75`` entries, at
+    least ``floor``.
     """
     spark: SparkSession = queries.sparkSession
     query_ids, query_vectors = distinct_vectors(queries, query_key, query_column, width, "p3-queries")
@@ -203,7 +204,7 @@ def nearest_vectors(
     if not total:
         return empty
     sample = entry_vectors.orderBy("h1").limit(sample_rows).select("v").toArrow()  # h1 is a hash: an even sample
-    quantiser = Quantiser(unit(unpacked(sample.column(0), width)), int(min(centroids, max(4, np.sqrt(total)))))
+    quantiser = Quantiser(unit(unpacked(sample.column(0), width)), int(np.clip(centroids * np.sqrt(total), 16, 1024)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,9 +213,9 @@ def nearest_vectors(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=[*batch.schema.names, "cell"])
 
     placed = staged(entry_vectors.join(carried, ["h1", "h2"]).mapInArrow(place, f"h1 bigint, h2 bigint, v binary, ids array<{kinds[1]}>, cell int"), "p3-cells")
-    counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most centroids**2 rows
-    quantiser.arrange(counts, block // 4)
-    enough = max(floor, int(share * total))
+    counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # one small row for each occupied cell, 1024**2 at most
+    quantiser.arrange(counts, block)
+    enough = max(floor, int(reach * total**0.75))
     sizes: dict[int, int] = {}
     for cell, region in quantiser.region.items():
         sizes[region] = sizes.get(region, 0) + counts[cell]
@@ -222,8 +223,7 @@ def nearest_vectors(
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = batch.column("v")
-            v = unpacked(data, width)
+            v = unpacked(batch.column("v"), width)
             rows, regions, cells = [], [], []
             for i, walked in enumerate(quantiser.walk(unit(v), enough) if len(v) else ()):
                 by_region: dict[int, list[int]] = {}
@@ -234,11 +234,12 @@ def nearest_vectors(
                     regions.append(region)
                     cells.append(own)
             at = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("h1").take(at), batch.column("h2").take(at), data.take(at), pa.array(regions, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["h1", "h2", "v", "region", "cells"])
+            yield pa.RecordBatch.from_arrays([batch.column("h1").take(at), batch.column("h2").take(at), pa.array(regions, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["h1", "h2", "region", "cells"])
 
-    sent = staged(query_vectors.mapInArrow(send, "h1 bigint, h2 bigint, v binary, region int, cells array<int>"), "p3-sent")
-    asked = {r["region"]: r["count"] for r in sent.groupBy("region").count().collect()}  # at most 256 rows
-    query_blocks = {r: -(-n // block) for r, n in asked.items()}
+    # the routes are staged without the vectors, which join them only on their way to the regions
+    sent = staged(query_vectors.mapInArrow(send, "h1 bigint, h2 bigint, region int, cells array<int>"), "p3-sent")
+    asked = {r["region"]: r["count"] for r in sent.groupBy("region").count().collect()}  # one small row for each region
+    query_blocks = {r: -(-n // (4 * block)) for r, n in asked.items()}
     # the layout of blocks is one small row for each region
     layout = spark.createDataFrame([(r, blocks[r], query_blocks.get(r, 1)) for r in blocks], "region int, entry_blocks int, query_blocks int")
     of_cell = spark.createDataFrame(list(quantiser.region.items()), "cell int, region int")
@@ -250,13 +251,19 @@ def nearest_vectors(
         .select("region", "eb", "qb", "v", "ids", "cell")
     )
     query_side = (
-        sent.join(F.broadcast(layout), "region")
+        sent.join(query_vectors, ["h1", "h2"])
+        .join(F.broadcast(layout), "region")
         .withColumn("qb", F.pmod("h1", "query_blocks").cast("int"))
         .withColumn("eb", F.explode(F.sequence(F.lit(0), F.col("entry_blocks") - 1)))
         .select("region", "eb", "qb", "h1", "h2", "v", "cells")
     )
 
+    ids_kind = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[kinds[1]]
+    none = pa.table({"h1": pa.array([], pa.int64()), "h2": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(ids_kind)), "cosine": pa.array([], pa.float64())})
+
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return none
         e, q = unpacked(left.column("v"), width), unpacked(right.column("v"), width)
         cell = left.column("cell").to_numpy()
         order = np.argsort(cell, kind="stable")
