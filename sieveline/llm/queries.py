@@ -12,6 +12,7 @@ from sieveline.llm.incremental import reject_repeats
 from sieveline.llm.multiindex import nearest_vectors
 from sieveline.llm.packing import pack
 from sieveline.llm.pii import find_personal_data, pseudonymise_personal_data, redact_personal_data
+from sieveline.llm.spam import stuffed_pages
 from sieveline.llm.splitting import round_labels, split_texts
 from sieveline.llm.tokenizer import encode_column
 from sieveline.plans.runtime import table
@@ -79,8 +80,12 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", 2048)
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return stuffed_pages(table(spark, d, "documents"), "doc_id", "text").select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_redacted, p2_pseudonyms, p3_found, p4_found, p4_pieces, p4_chunk_pieces, p5_found, p6_found, p7_ids, p8_containers)}
+    return {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_redacted, p2_pseudonyms, p3_found, p4_found, p4_pieces, p4_chunk_pieces, p5_found, p6_found, p7_ids, p8_containers, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
