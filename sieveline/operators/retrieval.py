@@ -32,17 +32,19 @@ def vector_topk(queries: DataFrame, items: DataFrame, k: int, block: int = 2048,
 
     n_blocks = max(1, -(-queries.count() // block))
     left = sized(queries).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    right = sized(items).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    # other names: both sides may come from one table, and a cogroup must not take their columns for the same
+    named = sized(items).select(F.col("id").alias("item"), F.col("embedding").alias("vector"))
+    right = named.withColumn("item_part", F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int")).withColumn("item_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
 
     def score(q: pa.Table, e: pa.Table) -> pa.Table:
         out = [], [], []
         if not q.num_rows or not e.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "item_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         by_size: dict[int, list[int]] = {}
-        for i, v in enumerate(e.column("embedding").to_pylist()):
+        for i, v in enumerate(e.column("vector").to_pylist()):
             by_size.setdefault(len(v), []).append(i)
-        qv, ev = q.column("embedding").to_pylist(), e.column("embedding").to_pylist()
-        q_ids, e_ids = q.column("id").to_numpy(), e.column("id").to_numpy()
+        qv, ev = q.column("embedding").to_pylist(), e.column("vector").to_pylist()
+        q_ids, e_ids = q.column("id").to_numpy(), e.column("item").to_numpy()
         for size, rows in by_size.items():
             mine = [i for i, v in enumerate(qv) if len(v) == size]
             if not mine:
@@ -58,7 +60,7 @@ def vector_topk(queries: DataFrame, items: DataFrame, k: int, block: int = 2048,
         flat = [np.concatenate(x) if x else np.empty(0) for x in out]
         return pa.table({"query_id": pa.array(flat[0], pa.int64()), "item_id": pa.array(flat[1], pa.int64()), "score": pa.array(flat[2], pa.float64())})
 
-    found = left.groupBy("qb", "part").cogroup(right.groupBy("qb", "part")).applyInArrow(score, "query_id bigint, item_id bigint, score double")
+    found = left.groupBy("qb", "part").cogroup(right.groupBy("item_qb", "item_part")).applyInArrow(score, "query_id bigint, item_id bigint, score double")
     return ranked(found.withColumn("score", F.round("score", 6)), k)
 
 
