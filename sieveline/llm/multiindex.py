@@ -178,7 +178,7 @@ def nearest_vectors(
     width: int = 384,
     centroids: float = 0.45,
     sample_rows: int = 32_768,
-    reach: float = 0.85,
+    reach: float = 0.55,
     floor: int = 2000,
     block: int = 8192,
 ) -> DataFrame:
@@ -188,7 +188,7 @@ def nearest_vectors(
     Vectors that are NULL, of another length, all zero, or hold NaN, infinite or NULL values take no
     part. Keys delivered twice count once; distinct entries may share a vector. Either table may be empty.
     Each half has ``centroids * sqrt(n)`` centroids for n distinct entries (16 to 1024), from a sample of
-    ``sample_rows`` of them; all entries are indexed. A query reranks ``reach * n ** 0.75`` entries, at
+    about ``sample_rows`` of them; all entries are indexed. A query reranks ``reach * n ** 0.75`` entries, at
     least ``floor``.
     """
     spark: SparkSession = queries.sparkSession
@@ -199,11 +199,12 @@ def nearest_vectors(
     smallest = Window.partitionBy("h1", "h2").orderBy(entry_key)
     few = entry_ids.distinct().withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k)
     carried = few.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(entry_key)).alias("ids"))
+    query_vectors = staged(query_vectors, "p3-asked")
     total = entry_vectors.select("h1").count()
     empty = spark.createDataFrame([], f"`{query_key}` {kinds[0]}, `{entry_key}` {kinds[1]}, cosine double")
     if not total:
         return empty
-    sample = entry_vectors.orderBy("h1").limit(sample_rows).select("v").toArrow()  # h1 is a hash: an even sample
+    sample = entry_vectors.where(F.pmod("h1", F.lit(max(1, total // sample_rows))) == 0).select("v").toArrow()  # h1 is a hash: an even sample
     quantiser = Quantiser(unit(unpacked(sample.column(0), width)), int(np.clip(centroids * np.sqrt(total), 16, 1024)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
