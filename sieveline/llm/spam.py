@@ -41,6 +41,9 @@ HASHTAGS = re.compile(r"#[^\W\d_]\w*(?:[\s,]+#[^\W\d_]\w*)*")
 _PRICE = r"(?:(?:EUR|USD|INR|GBP|CHF|Rs\.?|[$€£₹])\s?\d[\d.,]*|\d[\d.,]*\s?(?:EUR|USD|INR|GBP|CHF|€|₹))"
 _BAR = r"\s*(?:[|,;/–—-]|//)\s*"
 PRODUCTS = re.compile(rf"(?:[^\W\d_][\w-]*\s){{1,5}}\d{{1,4}}{_BAR}(?:SKU|EAN|Art\.?|Item|Ref)\W{{0,3}}\w+{_BAR}{_PRICE}(?:\s(?:new|sale|used|in stock|sold out|free shipping|[★☆⭐]+))?|(?:SKU|EAN)\W{{0,3}}\w+{_BAR}{_PRICE}", re.IGNORECASE)
+#: Signs without which no link or product line can be there.
+_HOSTED = re.compile(r"[a-z]\.[a-z]{2,10}/", re.IGNORECASE)
+_CODED = re.compile(r"\b(?:SKU|EAN|Art|Item|Ref)\b", re.IGNORECASE)
 CODE = re.compile(r"```.*?```", re.DOTALL)
 _STOP = re.compile(r"[.!?।؟…](?=\s|$)|\n+|\r+")
 _COMMA = re.compile(r"[,;|/•·]")
@@ -77,7 +80,9 @@ class Marker:
 
     def mark(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
         """(marked spans, word hashes, (n, 2) word spans) of a text; words inside marks and code are left out."""
-        spans = [m.span() for p in (LINKS, PRODUCTS) for m in p.finditer(text)] if ("/" in text or "SKU" in text or "sku" in text or "www." in text) else []
+        spans = [m.span() for m in LINKS.finditer(text)] if "://" in text or "www." in text.lower() or _HOSTED.search(text) else []
+        if _CODED.search(text):
+            spans += [m.span() for m in PRODUCTS.finditer(text)]
         if "#" in text:
             spans += [m.span() for m in HASHTAGS.finditer(text) if m.group().count("#") >= 2]
         spans = merge(spans)
@@ -124,77 +129,105 @@ def listings(text: str, at: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """(g bigint, n bigint): counts over all texts of every word (odd hashes made even) and pair of words."""
+class Tally:
+    """Counts of 64-bit keys in columns, kept in bounded memory and given out sorted when full."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marker, held, size = Marker(), [], 0
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    _, h, _ = marker.mark(t)
-                    held += [h & ~np.uint64(1), pairs(h) | np.uint64(1)]
-                    size += 2 * len(h)
-                if size > 1_000_000:
-                    g, n = np.unique(np.concatenate(held), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["g", "n"])
-                    held, size = [], 0
-        if held:
-            g, n = np.unique(np.concatenate(held), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["g", "n"])
+    def __init__(self, columns: int, limit: int = 1_500_000):
+        self.columns, self.limit, self.keys, self.flags, self.size = columns, limit, [], [], 0
+
+    def add(self, keys: np.ndarray, flags: np.ndarray | None = None) -> None:
+        self.keys.append(keys)
+        self.flags.append(flags if flags is not None else np.zeros(0, np.int64))
+        self.size += len(keys)
+
+    def full(self) -> bool:
+        return self.size > self.limit
 
-    return df.select(text).mapInArrow(run, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, how often each, sum of flags of each); empties the tally."""
+        keys, flags = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (self.keys, self.flags))
+        self.keys, self.flags, self.size = [], [], 0
+        values, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
+        flagged = np.bincount(inverse, flags, len(values)).astype(np.int64) if len(flags) else np.zeros(len(values), np.int64)
+        return values, n, flagged
 
 
-_MARKED = "n_chars int, marks array<int>, repeats array<struct<g: bigint, c: int, spans: array<int>>>, stretches array<struct<start: int, stop: int, pairs: array<bigint>, firsts: array<bigint>, seconds: array<bigint>>>"
+_PAGES = "n_chars int, marks array<int>, repeats array<struct<g: bigint, spans: array<int>>>, stretches array<struct<start: int, stop: int, pairs: array<bigint>, firsts: array<bigint>, seconds: array<bigint>>>"
+_SPAN, _LONG = pa.list_(pa.int32()), pa.list_(pa.int64())
+_KINDS = [
+    pa.int32(), _SPAN, pa.list_(pa.struct([("g", pa.int64()), ("spans", _SPAN)])),
+    pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("pairs", _LONG), ("firsts", _LONG), ("seconds", _LONG)])),
+]
 
 
-def marked(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n_chars, marks, repeats, stretches) of every text that is not blank."""
+def marked(df: DataFrame, key: str, text: str, share: float) -> DataFrame:
+    """One pass over all texts. Rows of three kinds:
+
+    * pages that could be flagged if every recurring run and every stretch counted (all others cannot):
+      (key, n_chars, marks, repeats, stretches);
+    * ``habit``: keys of recurring runs, in how many texts they recur, and in how many three times or more;
+    * ``count``: keys of words (even) and pairs of words (odd) and how often they occur.
+    """
     kind = dict(df.dtypes)[key]
+    names = [key, "n_chars", "marks", "repeats", "stretches", "what", "g", "n", "m"]
+
+    def tally_rows(what: str, tally: Tally, like: pa.DataType) -> pa.RecordBatch:
+        g, n, m = tally.take()
+        blank = [pa.nulls(len(g), t) for t in (like, *_KINDS)]
+        return pa.RecordBatch.from_arrays([*blank, pa.array([what] * len(g), pa.string()), pa.array(g.astype(np.uint64).view(np.int64)), pa.array(n.astype(np.int64)), pa.array(m)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marker = Marker()
+        marker, habits, counts, like = Marker(), Tally(2), Tally(1), None
         for batch in batches:
-            rows, sizes, marks, repeats, stretches = [], [], [], [], []
+            like = batch.column(0).type
+            rows, cols = [], [[], [], [], []]
             for i, t in enumerate(batch.column(1).to_pylist()):
                 if not t or not t.strip():
                     continue
                 spans, h, at = marker.mark(t)
-                again = []
+                counts.add(h & ~np.uint64(1))
+                p = pairs(h) | np.uint64(1)
+                counts.add(p)
+                again, covered = [], list(spans)
                 for size in RUNS:
                     g = runs(h, size)
                     order = np.argsort(g, kind="stable")
                     values, start, n = np.unique(g[order], return_index=True, return_counts=True)
-                    for v in np.flatnonzero(n >= 2).tolist():
-                        where = order[start[v] : start[v] + n[v]] if n[v] >= 3 else order[:0]
-                        spans_of = np.stack([at[where, 0], at[where + size - 1, 1]], axis=1).reshape(-1)
-                        again.append({"g": int(values[v].view(np.int64)), "c": int(n[v]), "spans": spans_of.tolist()})
-                found = []
-                for a, b in listings(t, at):
-                    w = h[a:b] & ~np.uint64(1)
-                    p = pairs(h[a:b]) | np.uint64(1)
-                    found.append({"start": int(at[a, 0]), "stop": int(at[b - 1, 1]), "pairs": p.view(np.int64).tolist(), "firsts": w[:-1].view(np.int64).tolist(), "seconds": w[1:].view(np.int64).tolist()})
+                    more = n >= 2
+                    if more.any():
+                        habits.add(values[more], (n[more] >= 3).astype(np.int64))
+                    for v in np.flatnonzero(n >= 3).tolist():
+                        where = np.sort(order[start[v] : start[v] + n[v]])
+                        again.append((int(values[v].view(np.int64)), where, size))
+                for _, where, size in again:
+                    covered += zip(at[where, 0].tolist(), at[where + size - 1, 1].tolist(), strict=True)
+                found = list(listings(t, at))
+                covered += [(int(at[a, 0]), int(at[b - 1, 1])) for a, b in found]
+                if _covered(covered, len(t)) <= share * len(t):
+                    continue
                 rows.append(i)
-                sizes.append(len(t))
-                marks.append([x for s in spans for x in s])
-                repeats.append(again)
-                stretches.append(found)
-            schema = pa.schema([pa.field("n_chars", pa.int32()), pa.field("marks", pa.list_(pa.int32()))])
-            span = pa.list_(pa.int32())
-            long = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(rows, pa.int32())),
-                    pa.array(sizes, schema.field(0).type),
-                    pa.array(marks, schema.field(1).type),
-                    pa.array(repeats, pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int32()), ("spans", span)]))),
-                    pa.array(stretches, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("pairs", long), ("firsts", long), ("seconds", long)]))),
-                ],
-                names=[key, "n_chars", "marks", "repeats", "stretches"],
-            )
-
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, {_MARKED}")
+                w = h & ~np.uint64(1)
+                cols[0].append(len(t))
+                cols[1].append([x for s in spans for x in s])
+                cols[2].append([{"g": g, "spans": np.stack([at[where, 0], at[where + size - 1, 1]], axis=1).reshape(-1).tolist()} for g, where, size in again])
+                cols[3].append([{"start": int(at[a, 0]), "stop": int(at[b - 1, 1]), "pairs": p[a : b - 1].view(np.int64).tolist(), "firsts": w[a : b - 1].view(np.int64).tolist(), "seconds": w[a + 1 : b].view(np.int64).tolist()} for a, b in found])
+            if rows:
+                none = [pa.nulls(len(rows), t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), *[pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], *none], names=names)
+            if habits.full():
+                yield tally_rows("habit", habits, like)
+            if counts.full():
+                yield tally_rows("count", counts, like)
+        if like is not None:
+            yield tally_rows("habit", habits, like)
+            yield tally_rows("count", counts, like)
+
+    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, {_PAGES}, what string, g bigint, n bigint, m bigint")
+
+
+def _covered(spans: list[tuple[int, int]], n: int) -> int:
+    """Characters inside ``spans``; a gap of a few signs between two of them belongs to them."""
+    return sum(min(e, n) - s for s, e in merge([(s, e + 3) for s, e in spans]))
 
 
 def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammered: float = 0.75, coherent: float = 1.5) -> DataFrame:
@@ -206,28 +239,29 @@ def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammer
     judged alike and count once for the corpus statistics of repeats.
     """
     source = ensure_spread(df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")))
-    pages = staged(marked(source, "k", "t"), "p9-marked")
+    seen = staged(marked(source, "k", "t", share), "p9-marked")
+    pages = seen.where("what is null").select("k", "n_chars", "marks", "repeats", "stretches")
 
-    repeats = pages.select("k", F.explode("repeats").alias("r")).select("k", F.col("r.g").alias("g"), F.col("r.c").alias("c"), F.col("r.spans").alias("spans"))
-    habits = repeats.groupBy("g").agg((F.count_if(F.col("c") >= 3) / F.count("*")).alias("often")).where(F.col("often") > hammered).select("g")
-    by_page = salted_join(repeats.where("c >= 3"), habits, ["g"]).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("key_phrases"))
+    habits = seen.where("what = 'habit'").groupBy("g").agg(F.sum("m").alias("m"), F.sum("n").alias("n")).where(F.col("m") > hammered * F.col("n")).select("g")
+    repeats = pages.select("k", F.explode("repeats").alias("r")).select("k", F.col("r.g").alias("g"), F.col("r.spans").alias("spans"))
+    by_page = salted_join(repeats, habits, ["g"]).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("key_phrases"))
 
     stretches = pages.select("k", F.explode("stretches").alias("s")).select("k", F.col("s.start").alias("start"), F.col("s.stop").alias("stop"), F.arrays_zip("s.pairs", "s.firsts", "s.seconds").alias("z"))
     joints = stretches.select("k", "start", "stop", F.explode("z").alias("z")).select("k", "start", "stop", F.col("z.pairs").alias("p"), F.col("z.firsts").alias("a"), F.col("z.seconds").alias("b"))
-    wanted = staged(joints, "p9-joints")
-    counts = staged(word_counts(source, "t"), "p9-counts")
+    counts = seen.where("what = 'count'").select("g", "n")
     total = counts.where(F.col("g").bitwiseAND(F.lit(1)) == 0).agg(F.sum("n")).first()[0] or 1
-    needed = wanted.select(F.col("p").alias("g")).union(wanted.select("a")).union(wanted.select("b")).distinct()
-    held = staged(counts.join(needed, "g", "left_semi"), "p9-needed")
-    # few distinct joints of many: weigh each kind once, then return to the stretches
+    wanted = staged(joints.groupBy("k", "start", "stop", "p", "a", "b").agg(F.count("*").alias("c")), "p9-joints")
+    # each kind of joint is weighed once, then returns to its stretches
     kinds = wanted.select("p", "a", "b").distinct()
+    needed = kinds.select(F.col("p").alias("g")).union(kinds.select("a")).union(kinds.select("b")).distinct()
+    held = staged(counts.join(needed, "g", "left_semi").groupBy("g").agg(F.sum("n").alias("n")), "p9-needed")
     pmi = (
         kinds.join(held.select(F.col("g").alias("p"), F.col("n").alias("np")), "p")
         .join(held.select(F.col("g").alias("a"), F.col("n").alias("na")), "a")
         .join(held.select(F.col("g").alias("b"), F.col("n").alias("nb")), "b")
         .select("p", "a", "b", F.log(F.col("np") * F.lit(float(total)) / (F.col("na") * F.col("nb").cast("double"))).alias("pmi"))
     )
-    salad = salted_join(wanted, pmi, ["p", "a", "b"]).groupBy("k", "start", "stop").agg(F.avg("pmi").alias("pmi")).where(F.col("pmi") < coherent)
+    salad = salted_join(wanted, pmi, ["p", "a", "b"]).groupBy("k", "start", "stop").agg((F.sum(F.col("pmi") * F.col("c")) / F.sum("c")).alias("pmi")).where(F.col("pmi") < coherent)
     salad_by_page = salad.groupBy("k").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("salad"))
 
     together = pages.select("k", "n_chars", "marks").join(by_page, "k", "left").join(salad_by_page, "k", "left")
@@ -240,9 +274,7 @@ def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammer
                 flat = [x for a in lists if a for x in a]
                 if not flat:
                     continue
-                # a gap of a few signs between two marked spans belongs to them
-                whole = merge([(s, e + 3) for s, e in zip(flat[::2], flat[1::2], strict=True)])
-                covered = sum(min(e, n) - s for s, e in whole)
+                covered = _covered(list(zip(flat[::2], flat[1::2], strict=True)), n)
                 if covered > share * n:
                     rows.append(i)
                     shares.append(covered / n)
