@@ -164,7 +164,8 @@ class Matcher:
             elif w not in ADDITIONS:
                 return None
         missing = [t for t, n in left.items() if n > 0]
-        if not like or (missing and max(map(self._weight, missing)) >= max(map(self._weight, form)) - 1e-9):
+        there = [self._weight(t) for t in form if left[t] == 0]
+        if not like or (missing and max(there, default=0.0) < max(map(self._weight, form)) - 1e-9):
             return None
         total = sum(self._weight(t) ** 2 for t in form)
         return not missing, dot / math.sqrt(total * max(seen, 1e-9)), sum(like) / len(like)
