@@ -26,6 +26,7 @@ from sieveline.plans.runtime import ensure_spread, stage_path, staged
 
 SKETCH = 1 << 18
 PARTS = 8
+COMMON = 6
 
 
 def _slots(tokens: np.ndarray) -> np.ndarray:
@@ -50,25 +51,27 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, sketch: np.ndarray, share: int, of: int) -> DataFrame:
-    """(batch, record, n, token) for the rarest tokens of every set that a similar set must share."""
+    """(record, batch, n, place, token) for the rarest tokens of every set, as many as a similar set of any
+    size needs."""
     held = sets.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = held.value
         for batch in batches:
-            records, sizes, tokens = [], [], []
+            records, sizes, places, tokens = [], [], [], []
             for i, x in enumerate(batch.column("shingles")):
                 s = np.frombuffer(x.as_buffer(), np.uint64)
                 least = -(-share * len(s) // of)
-                chosen = s[np.lexsort((s, counts[_slots(s)]))[: len(s) - least + 1]]
+                chosen = s[np.lexsort((s, counts[_slots(s)]))[: len(s) - least + COMMON]]
                 tokens.append(chosen)
                 records.append(np.full(len(chosen), i))
                 sizes.append(np.full(len(chosen), len(s), np.int32))
+                places.append(np.arange(len(chosen), dtype=np.int32))
             if tokens:
                 at = pa.array(np.concatenate(records).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("record").take(at), batch.column("batch").take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(tokens).view(np.int64))], names=["record", "batch", "n", "token"])
+                yield pa.RecordBatch.from_arrays([batch.column("record").take(at), batch.column("batch").take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places)), pa.array(np.concatenate(tokens).view(np.int64))], names=["record", "batch", "n", "place", "token"])
 
-    return sets.select("record", "batch", "shingles").mapInArrow(run, "record bigint, batch string, n int, token bigint")
+    return sets.select("record", "batch", "shingles").mapInArrow(run, "record bigint, batch string, n int, place int, token bigint")
 
 
 def _part(column: str) -> F.Column:
@@ -87,8 +90,12 @@ class HistoryIndex:
         self.sketch: np.ndarray | None = None
         self.empty = True
 
-    def _fits(self, a: str, b: str) -> F.Column:
-        return (F.col(a) * self.of >= F.col(b) * self.share) & (F.col(b) * self.of >= F.col(a) * self.share)
+    def _meet(self, joined: DataFrame) -> DataFrame:
+        """(a, b): pairs that share enough of their rarest tokens; of (a, na, pa, b, nb, pb) rows by token."""
+        sizes = (F.col("na") * self.of >= F.col("nb") * self.share) & (F.col("nb") * self.of >= F.col("na") * self.share)
+        least = F.ceil(F.lit(self.share) * (F.col("na") + F.col("nb")) / F.lit(self.of + self.share)).cast("int")
+        near = joined.where(sizes & (F.col("pa") < F.col("na") - least + COMMON) & (F.col("pb") < F.col("nb") - least + COMMON))
+        return near.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= COMMON).select("a", "b")
 
     def accept(self, sets: DataFrame) -> DataFrame:
         """Rejected records of ``sets`` (batch, record, n, h1, h2, shingles): those similar to an
@@ -99,19 +106,14 @@ class HistoryIndex:
         firsts = staged(sets.join(first, "record", "left_semi").select("record", "n", "shingles", "batch", _part("record").alias("part")), "p6-firsts")
         copies = sets.select("record").join(firsts.select("record"), "record", "left_anti")
         mine = staged(prefixes(firsts, self.sketch, self.share, self.of), "p6-prefixes")
-        pairs = (
-            mine.select("token", F.struct("batch", "record").alias("a"), F.col("n").alias("na"))
-            .join(mine.select("token", F.struct("batch", "record").alias("b"), F.col("n").alias("nb")), "token")
-            .where((F.col("a") < F.col("b")) & self._fits("na", "nb"))
-            .select("a.record", F.col("b.record").alias("b"))
-            .distinct()
-            .withColumnRenamed("record", "a")
-        )
+        earlier = mine.select("token", F.col("batch").alias("ba"), F.col("record").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
+        later = mine.select("token", F.col("batch").alias("bb"), F.col("record").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+        pairs = self._meet(earlier.join(later, "token").where((F.col("ba") < F.col("bb")) | ((F.col("ba") == F.col("bb")) & (F.col("a") < F.col("b")))))
         held = pairs.join(firsts.select(F.col("record").alias("a"), F.col("shingles").alias("sa")), "a").join(firsts.select(F.col("record").alias("b"), F.col("shingles").alias("sb")), "b")
         links = staged(similar(held, self.share, self.of).select("a", "b"), "p6-links")
         rejected = self._resolve(links, self._repeated(mine, firsts))
         self._append(firsts.join(rejected, "record", "left_anti"), "sets", "record")
-        self._append(mine.join(rejected, "record", "left_anti").select("record", "n", "token", _part("token").alias("part")), "postings", "token")
+        self._append(mine.join(rejected, "record", "left_anti").select("record", "n", "place", "token", _part("token").alias("part")), "postings", "token")
         self.empty = False
         return rejected.union(copies)
 
@@ -119,7 +121,7 @@ class HistoryIndex:
         df.repartition(PARTS, "part").sortWithinPartitions("part", order).write.mode("append").partitionBy("part").parquet(f"{self.path}/{name}")
 
     def _postings(self) -> DataFrame:
-        return self.spark.read.schema("record bigint, n int, token bigint, part int").parquet(f"{self.path}/postings")
+        return self.spark.read.schema("record bigint, n int, place int, token bigint, part int").parquet(f"{self.path}/postings")
 
     def _sets(self) -> DataFrame:
         return self.spark.read.schema("record bigint, n int, shingles binary, batch string, part int").parquet(f"{self.path}/sets")
@@ -128,14 +130,9 @@ class HistoryIndex:
         """Records of the arrival that are similar to an accepted one of the history."""
         if self.empty:
             return self.spark.createDataFrame([], "record bigint")
-        probed = (
-            self._postings()
-            .select("token", F.col("record").alias("a"), F.col("n").alias("na"), "part")
-            .join(mine.select("token", F.col("record").alias("b"), F.col("n").alias("nb"), _part("token").alias("part")), ["part", "token"])
-            .where(self._fits("na", "nb"))
-            .select("a", "b")
-            .distinct()
-        )
+        old = self._postings().select("part", "token", F.col("record").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
+        new = mine.select(_part("token").alias("part"), "token", F.col("record").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+        probed = self._meet(old.join(new, ["part", "token"]))
         held = (
             probed.withColumn("part", _part("a"))
             .join(self._sets().select("part", F.col("record").alias("a"), F.col("shingles").alias("sa")), ["part", "a"])
@@ -181,6 +178,8 @@ def reject_repeats(df: DataFrame, key: str, batch: str, title: str, content: str
     rows whose batch is NULL form a batch before all others. An empty table gives no rows.
     """
     spark = df.sparkSession
+    if least * share < COMMON * of:
+        raise ValueError("sets that small share too few tokens")
     source = ensure_spread(df.select(key, batch, title, content)).withColumn(batch, F.concat(F.lit("b"), F.coalesce(F.col(batch), F.lit(""))))
     sets = staged(shingle_sets(source, key, title, content, keep=[batch], size=size, least=least).withColumnsRenamed({key: "record", batch: "batch"}), "p6-sets")
     index = HistoryIndex(spark, stage_path(spark, "p6-index"), share, of)
