@@ -124,25 +124,25 @@ class Matcher:
 
     def rank(self, words: list[str], repaired: dict[str, dict[str, float]], entries: dict[int, list[list[str]]]) -> int:
         """The id that ``words`` mean, 0 if none or more than one."""
-        best: dict[int, tuple[bool, float, float]] = {}
+        best: dict[int, tuple[bool, bool, float, float]] = {}
         for entry, forms in entries.items():
             for form in forms:
                 score = self._score(words, repaired, form)
-                if score and score > best.get(entry, (False, 0.0, 0.0)):
+                if score and score > best.get(entry, (False, False, 0.0, 0.0)):
                     best[entry] = score
         ranked = sorted(best.items(), key=lambda x: (x[1], -x[0]), reverse=True)
         if not ranked:
             return 0
-        if len(ranked) > 1:
-            (whole, soft, like), (whole2, soft2, like2) = ranked[0][1], ranked[1][1]
-            # two entries written in full and alike, or two that share the only word given
-            if whole == whole2 and ((not whole and abs(like - like2) < 0.05) or abs(soft - soft2) + abs(like - like2) < 1e-9):
-                return 0
+        whole, telling, soft, like = ranked[0][1]
+        if not whole and (not telling or any(abs(like - x[1][3]) < 0.05 for x in ranked[1:])):
+            return 0  # what was given is in other entries too
+        if len(ranked) > 1 and ranked[1][1][0] and abs(soft - ranked[1][1][2]) + abs(like - ranked[1][1][3]) < 1e-9:
+            return 0  # two entries written in full and alike
         return ranked[0][0]
 
-    def _score(self, words: list[str], repaired: dict[str, dict[str, float]], form: list[str]) -> tuple[bool, float, float] | None:
-        """(written in full, soft TF-IDF, mean likeness) if every word is a token of ``form`` or an
-        addition, and the token that tells the entry apart best is there."""
+    def _score(self, words: list[str], repaired: dict[str, dict[str, float]], form: list[str]) -> tuple[bool, bool, float, float] | None:
+        """(written in full, the token that tells the entry apart best is there, soft TF-IDF, mean
+        likeness) if every word is a token of ``form`` or an addition."""
         left, dot, seen, like = Counter(form), 0.0, 0.0, []
         glued = "".join(form)
         for w in words:
@@ -165,14 +165,15 @@ class Matcher:
                 return None
         missing = [t for t, n in left.items() if n > 0]
         there = [self._weight(t) for t in form if left[t] == 0]
-        if not like or (missing and max(there, default=0.0) < max(map(self._weight, form)) - 1e-9):
+        if not like:
             return None
         total = sum(self._weight(t) ** 2 for t in form)
-        return not missing, dot / math.sqrt(total * max(seen, 1e-9)), sum(like) / len(like)
+        return not missing, max(there, default=0.0) >= max(map(self._weight, form)) - 1e-9, dot / math.sqrt(total * max(seen, 1e-9)), sum(like) / len(like)
 
     def match(self, value_parts: list[list[str]], repaired: dict[str, dict[str, float]], entries: dict[int, list[list[str]]]) -> int:
-        """Try the whole value, then its parts in order; words as written, then with short forms spelt out."""
-        tries = [[t for p in value_parts for t in p], *value_parts]
+        """Try the whole value, then its leading parts together, then each part; words as written, then with short forms spelt out."""
+        leading = [[t for p in value_parts[:n] for t in p] for n in range(len(value_parts), 0, -1)]
+        tries = [*leading, *value_parts[1:]]
         for words in tries:
             spelt = [x for t in words for x in SHORT_FORMS.get(t, t).split()]
             swapped = ["engineer" if t == "developer" else t for t in spelt]

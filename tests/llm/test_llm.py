@@ -193,7 +193,8 @@ def test_packing(spark):
 
 def test_stuffed_pages(spark):
     r = random.Random(6)
-    plain = [(i, ". ".join(f"I was asked about the {r.choice('trees heaps maps'.split())} in round {r.randint(1, 9)} and told them that it was {r.choice('fine hard odd'.split())}" for _ in range(12)) + ".") for i in range(40)]
+    vocabulary = [f"{a}{b}" for a in "ka lo mi nu re so ta vu".split() for b in "ba de fi go hu ja ke lu".split()]
+    plain = [(i, ". ".join(" ".join(["I"] + [r.choice(vocabulary) for _ in range(9)]) for _ in range(12)) + ".") for i in range(40)]
     tags = (100, " ".join(f"#Topic{i}" for i in range(60)))
     links = (101, "\n".join(f"- best course: http://x{i}.example/p?id={i}" for i in range(20)))
     words = (102, "cheap course near me, " * 40)
