@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.operators import chunking, curation, dedup, evaluation, loading, monitoring, retrieval
+from sieveline.operators import chunking, curation, dedup, evaluation, loading, models, monitoring, retrieval
 from sieveline.sources import readers
 from sieveline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [dedup, curation, chunking, retrieval, evaluation, monitoring, loading, readers, incremental]
+MODULES = [dedup, curation, chunking, retrieval, evaluation, monitoring, loading, models, readers, incremental]
 
 
 def queries() -> dict[str, Query]:
