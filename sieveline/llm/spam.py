@@ -78,23 +78,27 @@ class Marker:
             out.append(h)
         return np.array(out, np.uint64)
 
-    def mark(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-        """(marked spans, word hashes, (n, 2) word spans) of a text; words inside marks and code are left out."""
+    def mark(self, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """(marked spans, stretches between marks and code) of a text."""
         spans = [m.span() for m in LINKS.finditer(text)] if "://" in text or "www." in text.lower() or _HOSTED.search(text) else []
-        if _CODED.search(text):
+        if "SKU" in text or "EAN" in text or _CODED.search(text):
             spans += [m.span() for m in PRODUCTS.finditer(text)]
         if "#" in text:
             spans += [m.span() for m in HASHTAGS.finditer(text) if m.group().count("#") >= 2]
         spans = merge(spans)
         gone = merge([*spans, *(m.span() for m in CODE.finditer(text))]) if "```" in text else spans
-        words, at = [], []
-        start = 0
+        free, start = [], 0
         for s, e in [*gone, (len(text), len(text))]:
-            for m in WORD.finditer(text, start, s):
-                words.append(m.group())
-                at.append(m.span())
+            free.append((start, s))
             start = e
-        return spans, self.hashes(words), np.array(at, np.int32).reshape(-1, 2)
+        return spans, free
+
+    def words_of(self, text: str, free: list[tuple[int, int]]) -> list[str]:
+        return WORD.findall(text) if len(free) == 1 else [w for s, e in free for w in WORD.findall(text, s, e)]
+
+    def places(self, text: str, free: list[tuple[int, int]]) -> np.ndarray:
+        """(n, 2) spans of the same words."""
+        return np.array([m.span() for s, e in free for m in WORD.finditer(text, s, e)], np.int32).reshape(-1, 2)
 
 
 def runs(h: np.ndarray, size: int) -> np.ndarray:
@@ -184,7 +188,9 @@ def marked(df: DataFrame, key: str, text: str, share: float) -> DataFrame:
             for i, t in enumerate(batch.column(1).to_pylist()):
                 if not t or not t.strip():
                     continue
-                spans, h, at = marker.mark(t)
+                spans, free = marker.mark(t)
+                words = marker.words_of(t, free)
+                h = marker.hashes(words)
                 counts.add(h & ~np.uint64(1))
                 p = pairs(h) | np.uint64(1)
                 counts.add(p)
@@ -199,6 +205,16 @@ def marked(df: DataFrame, key: str, text: str, share: float) -> DataFrame:
                     for v in np.flatnonzero(n >= 3).tolist():
                         where = np.sort(order[start[v] : start[v] + n[v]])
                         again.append((int(values[v].view(np.int64)), where, size))
+                # words outside every recurring run and stretch bound what can be marked: most pages end here
+                inside = np.zeros(len(words), bool)
+                for _, where, size in again:
+                    for k in range(size):
+                        inside[where + k] = True
+                sizes_of = np.fromiter(map(len, words), np.int64, len(words))
+                loose = max(map(len, _STOP.split(t)), default=0) > 300 or 10 * sum(map(t.count, ",;|/•·")) > len(words)
+                if not loose and len(t) - int(sizes_of[~inside].sum()) <= share * len(t):
+                    continue
+                at = marker.places(t, free)
                 for _, where, size in again:
                     covered += zip(at[where, 0].tolist(), at[where + size - 1, 1].tolist(), strict=True)
                 found = list(listings(t, at))
