@@ -74,7 +74,7 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     so no later task has to recompute it and a lost executor costs only its own tasks."""
     spark = df.sparkSession
     path = stage_path(spark, name)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if by:
         writer = writer.partitionBy(by)
     writer.parquet(path)
