@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import rules, text
-from sieveline.plans.runtime import table
+from sieveline.operators.dedup import near_dup_keep
+from sieveline.plans.runtime import staged, table
 
 
 # --- steps --------------------------------------------------------------------------------------------
@@ -89,16 +90,26 @@ def quality(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, existing: DataFrame | None = None, key: str = "content", order: str = "record_no") -> DataFrame:
-    """Exact duplicates by normalized hash: the first by ``order`` stays unless ``existing`` (content_hash) has it."""
-    df = df.withColumn("content_hash", text.content_key(F.col(key)))
-    live = F.col("filter_reason").isNull()
+    """Row by row in the unique ``order``: a duplicate is exact if its normalized hash is that of a row kept before
+    or of ``existing`` (content_hash), near if its word shingles are similar to a row's kept before."""
+    df = staged(df.withColumn("content_hash", text.content_key(F.col(key))), "dedup-rows")
+    live = F.col("filter_reason").isNull() & ~text.is_blank(F.col(key))
     rank = F.row_number().over(Window.partitionBy("content_hash", live).orderBy(order))
-    df = df.withColumn("__rank", rank)
     seen = F.lit(False)
     if existing is not None:
         df = df.join(existing.select("content_hash").distinct().withColumn("__seen", F.lit(True)), "content_hash", "left")
         seen = F.coalesce("__seen", F.lit(False))
-    reason = F.when(text.is_blank(F.col(key)), "empty_content_at_dedup").when(seen | (F.col("__rank") > 1), "exact_duplicate")
+    first = df.where(live & ~seen).groupBy("content_hash").agg(F.min_by(key, order).alias(key), F.min(order).alias(order))
+    near = near_dup_keep(first, order, key)
+    # copies of a near duplicate are near duplicates too: its hash was never kept
+    verdict = first.select("content_hash", order).join(near, order).select("content_hash", "near_duplicate_of")
+    df = df.withColumn("__rank", rank).join(verdict, "content_hash", "left").withColumn("near_duplicate_of", F.when(live, F.col("near_duplicate_of")))
+    reason = (
+        F.when(text.is_blank(F.col(key)), "empty_content_at_dedup")
+        .when(seen, "exact_duplicate")
+        .when(F.col("near_duplicate_of").isNotNull(), "near_duplicate")
+        .when(F.col("__rank") > 1, "exact_duplicate")
+    )
     return tag(df, "deduplicator", reason).drop("__rank", "__seen")
 
 
@@ -182,18 +193,24 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
 STEPS = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator", "entity_extractor"]
 
 
+def _run(spark: SparkSession, d: str) -> DataFrame:
+    """All steps over the scraped documents; accepted documents count as seen."""
+    options = {"deduplicator": {"existing": table(spark, d, "processed_documents")}}
+    return run_pipeline(_raw(spark, d).drop("content_hash"), [(s, options.get(s, {})) for s in STEPS])
+
+
 def q_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    out = run_pipeline(_raw(spark, d).drop("content_hash"), STEPS)
-    return out.select("record_no", "filtered_at", "filter_reason", "word_count", "quality_score", "company", "experience_level", "num_rounds", "interview_outcome", "difficulty")
+    return _run(spark, d).select(
+        "record_no", "filtered_at", "filter_reason", "near_duplicate_of", "word_count", "quality_score", "company", "experience_level", "num_rounds", "interview_outcome", "difficulty"
+    )
 
 
 def q_step_stats(spark: SparkSession, d: str) -> DataFrame:
-    return step_stats(run_pipeline(_raw(spark, d).drop("content_hash"), STEPS), STEPS)
+    return step_stats(_run(spark, d), STEPS)
 
 
 def q_reasons(spark: SparkSession, d: str) -> DataFrame:
-    out = run_pipeline(_raw(spark, d).drop("content_hash"), STEPS)
-    return out.where("filter_reason is not null").groupBy("filtered_at", "filter_reason").agg(F.count("*").alias("n"))
+    return _run(spark, d).where("filter_reason is not null").groupBy("filtered_at", "filter_reason").agg(F.count("*").alias("n"))
 
 
 def q_word_count(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions import text
-from sieveline.operators import chunking, curation, evaluation, loading, monitoring, retrieval
+from sieveline.operators import chunking, curation, dedup, evaluation, loading, monitoring, retrieval
 from sieveline.sources import readers
 
 
@@ -127,3 +127,31 @@ def test_sources(spark, tmp_path):
     assert sorted(r["document_id"] or "" for r in got) == ["", "x"]
     assert [p.rsplit("/", 1)[1] for p in readers.list_files(spark, str(tmp_path / "b"), ".json")] == ["gfg_2.json", "gfg_1.json"]
     assert readers.settings({"a": ["${HOME_X}"]}, {"HOME_X": "1"}) == {"a": ["1"]}
+
+
+def test_near_duplicates(spark):
+    body = [f"w{i}" for i in range(100)]
+    part = lambda start, n: " ".join(body[start : start + n])
+    # 1-3 form a chain: 2 is like 1, 3 is like 2 but not like 1, so 3 stays; 4 repeats 2; 5 is too short; 6 was accepted before
+    rows = [(1, part(0, 80)), (2, part(7, 80)), (3, part(14, 80)), (4, part(7, 80).upper()), (5, part(0, 9)), (6, part(20, 80)), (7, None), (8, part(0, 80))]
+    df = spark.createDataFrame(rows, "record_no bigint, content string").withColumn("filter_reason", F.lit(None).cast("string")).withColumn("filtered_at", F.lit(None).cast("string"))
+    old = spark.createDataFrame([(part(20, 80),)], "c string").select(text.content_key(F.col("c")).alias("content_hash"))
+    got = {r["record_no"]: (r["filter_reason"], r["near_duplicate_of"]) for r in curation.deduplicate(df, old).collect()}
+    near = ("near_duplicate", 1)
+    assert got == {1: (None, None), 2: near, 3: (None, None), 4: near, 5: (None, None), 6: ("exact_duplicate", None), 7: ("empty_content_at_dedup", None), 8: ("exact_duplicate", None)}
+
+
+def test_greedy_rejects(spark):
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5), (2, 5), (3, 5)], "a bigint, b bigint")
+    assert {tuple(r) for r in dedup.greedy_rejects(pairs).collect()} == {(2, 1), (4, 3), (5, 3)}
+
+
+def test_pipeline_asks_accepted_documents(spark, tmp_path):
+    story = " ".join(f"the interview round had question number{i} and the answer" for i in range(20))
+    raw = [(1, story), (2, story + " which was fine")]
+    spark.createDataFrame(raw, "record_no bigint, raw_content string").selectExpr(
+        "record_no", "'gfg_1' AS document_id", "'gfg' AS source_platform", "'u' AS source_url", "'Interview at Xy' AS title", "raw_content", "'' AS content_hash"
+    ).write.parquet(f"{tmp_path}/scraped_documents.parquet")
+    spark.createDataFrame([(story,)], "c string").select(text.content_key(F.col("c")).alias("content_hash")).write.parquet(f"{tmp_path}/processed_documents.parquet")
+    got = {r["record_no"]: r["filter_reason"] for r in curation._run(spark, str(tmp_path)).collect()}
+    assert got[1] == "exact_duplicate" and got[2] != "exact_duplicate"
