@@ -154,6 +154,24 @@ TITLE_COMPANY = [
     r"(?i)^([\w\s.&\-]+?)\s+Interview\s+Experience", r"(?i)Interview\s+Experience\s+(?:at|with|for)\s+([\w\s.&\-]+?)\s*(?:for|\-|\||$)", r"(?i)(?:My|The)\s+(?:Interview\s+(?:at|with)\s+)?([\w\s.&\-]+?)\s+Interview",
     r"(?i)Interview\s+(?:at|with)\s+([\w\s.&\-]+?)\s*(?:\||\-|$)", r"(?i)(?:Interview\s+Questions\s+(?:from|at)|Hiring\s+Process\s+(?:at|of))\s+([\w\s.&\-]+)", r"(?i)(?:Placed|Selected|Hired)\s+(?:at|by|in)\s+([\w\s.&\-]+)",
 ]
+# Topics of questions and the words that name them.
+TOPICS = {
+    "dsa": ["dsa", "data structure", "data structures", "algorithm", "algorithms", "binary search", "binary tree", "linked list", "stack", "queue", "heap", "hash map", "hashmap", "hash table", "sorting", "searching", "dynamic programming", "dp", "greedy", "backtracking", "recursion", "graph traversal", "bfs", "dfs", "tree traversal", "sliding window", "two pointer", "two pointers", "array", "string manipulation", "trie", "segment tree", "disjoint set", "union find", "topological sort", "shortest path", "dijkstra", "anagram", "palindrome", "matrix", "grid", "leetcode"],
+    "system_design": ["system design", "high level design", "hld", "low level design", "lld", "scalability", "load balancer", "load balancing", "caching", "database design", "schema design", "microservices", "distributed system", "distributed systems", "api design", "rate limiting", "message queue", "pub sub", "sharding", "replication", "consistency", "availability", "cap theorem"],
+    "behavioral": ["behavioral", "behaviour", "tell me about yourself", "introduce yourself", "self introduction", "strengths", "weaknesses", "where do you see yourself", "why this company", "why do you want", "conflict resolution", "teamwork", "leadership question", "challenging situation", "biggest achievement", "failure", "career goals"],
+    "sql_dbms": ["sql", "dbms", "database", "query", "queries", "join", "normalization", "indexing", "transactions", "acid", "stored procedure", "trigger", "view", "primary key", "foreign key", "relational", "er diagram", "nosql"],
+    "os": ["operating system", "operating systems", "cpu scheduling", "process", "thread", "deadlock", "semaphore", "mutex", "virtual memory", "paging", "segmentation", "memory management", "file system", "context switch", "multithreading", "synchronization"],
+    "networking": ["networking", "computer network", "tcp", "udp", "http", "https", "dns", "osi model", "ip address", "subnetting", "routing", "firewall", "ssl", "tls", "socket", "rest api"],
+    "oop": ["oops", "oop", "object oriented", "object-oriented", "inheritance", "polymorphism", "encapsulation", "abstraction", "design pattern", "design patterns", "solid principles", "singleton", "factory pattern", "interface", "abstract class"],
+    "ml_ai": ["machine learning", "deep learning", "neural network", "classification", "regression", "random forest", "decision tree", "svm", "support vector", "gradient descent", "overfitting", "underfitting", "cross validation", "feature engineering", "nlp", "natural language", "computer vision", "cnn", "rnn", "lstm", "transformer", "bert", "gpt", "tensorflow", "pytorch", "llm"],
+    "web_dev": ["html", "css", "javascript", "react", "angular", "vue", "node.js", "nodejs", "express", "django", "flask", "spring boot", "rest api", "graphql", "frontend", "backend", "full stack"],
+    "aptitude": ["aptitude", "logical reasoning", "verbal reasoning", "quantitative", "puzzle", "puzzles", "brain teaser", "probability", "permutation", "combination"],
+}
+# Phrases after which a text names the role, in order.
+ROLE_TRIGGERS = [
+    r"(?:for\s+the\s+)?role\s+(?:of|:)\s+", r"(?:applied|applying)\s+(?:for|as)\s+(?:the\s+)?(?:role\s+of\s+)?", r"interview(?:ed)?\s+for\s+(?:the\s+)?(?:role\s+of\s+)?(?:a\s+)?",
+    r"(?:hiring|recruited?)\s+for\s+(?:the\s+)?", r"(?:offered|selected\s+for)\s+(?:the\s+)?(?:role\s+of\s+)?", r"(?:position|designation)\s*:\s*", r"target\s+position\s*:\s*",
+]
 # Where a chunk of a round begins.
 ROUND_STARTS = [
     r"(?:round|interview\s*round)[\s\-]*(?:\d+(?:\s*(?:&|and)\s*\d+)?|[IVXL]+)\s*(?:[:\-\(]|\([^)]*\)\s*:)?", r"(?:zero|first|second|third|fourth|fifth|sixth|seventh)\s*round\s*[:\-\(]?",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import rules, text
+from sieveline.functions.entities import alias_map, named
 from sieveline.operators.dedup import near_dup_keep
 from sieveline.plans.runtime import staged, table
 
@@ -113,15 +114,17 @@ def deduplicate(df: DataFrame, existing: DataFrame | None = None, key: str = "co
     return tag(df, "deduplicator", reason).drop("__rank", "__seen")
 
 
-def entities(df: DataFrame) -> DataFrame:
-    """Company from the title, level, types, rounds, outcome and difficulty from the text."""
+def entities(df: DataFrame, companies: DataFrame | None = None, roles: DataFrame | None = None) -> DataFrame:
+    """Company and role by the title's form and the lists' names and aliases, topics, level, types, rounds, outcome
+    and difficulty from title and text."""
     c, low = F.col("content"), F.lower("content")
     titled = [F.nullif(text.strip(F.regexp_extract("clean_title", p, 1)), F.lit("")) for p in rules.TITLE_COMPANY]
     fit = [F.when(F.length(t).between(2, 50), t) for t in titled]
     types = F.array_compact(F.array(*[F.when(c.rlike(text.any_of(k)), F.lit(n)) for n, k in rules.INTERVIEW_TYPES.items()]))
     tail = F.substring(c, F.floor(F.length(c) * 0.7).cast("int") + 1, F.length(c))
     return (
-        df.withColumn("company", F.coalesce(*fit))
+        df.withColumn("__named", named(F.col("clean_title"), c, F.coalesce(*fit), alias_map(companies, "company_id", "company_name"), alias_map(roles, "role_id", "title")))
+        .select(*[F.col(f"`{x}`") for x in df.columns], F.col("__named.company"), F.col("__named.role"), F.col("__named.topics"))
         .withColumn("experience_level", text.first_label(F.concat_ws(" ", "clean_title", c), rules.LEVELS, F.lit("unknown")))
         .withColumn("interview_types", F.when(F.size(types) == 0, F.array(F.lit("unknown"))).otherwise(types))
         .withColumn("num_rounds", num_rounds(low))
@@ -195,13 +198,16 @@ STEPS = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator",
 
 def _run(spark: SparkSession, d: str) -> DataFrame:
     """All steps over the scraped documents; accepted documents count as seen."""
-    options = {"deduplicator": {"existing": table(spark, d, "processed_documents")}}
+    options = {
+        "deduplicator": {"existing": table(spark, d, "processed_documents")},
+        "entity_extractor": {"companies": table(spark, d, "companies"), "roles": table(spark, d, "role_titles")},
+    }
     return run_pipeline(_raw(spark, d).drop("content_hash"), [(s, options.get(s, {})) for s in STEPS])
 
 
 def q_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return _run(spark, d).select(
-        "record_no", "filtered_at", "filter_reason", "near_duplicate_of", "word_count", "quality_score", "company", "experience_level", "num_rounds", "interview_outcome", "difficulty"
+        "record_no", "filtered_at", "filter_reason", "near_duplicate_of", "word_count", "quality_score", "company", "role", "topics", "experience_level", "num_rounds", "interview_outcome", "difficulty"
     )
 
 

@@ -152,6 +152,26 @@ def test_pipeline_asks_accepted_documents(spark, tmp_path):
     spark.createDataFrame(raw, "record_no bigint, raw_content string").selectExpr(
         "record_no", "'gfg_1' AS document_id", "'gfg' AS source_platform", "'u' AS source_url", "'Interview at Xy' AS title", "raw_content", "'' AS content_hash"
     ).write.parquet(f"{tmp_path}/scraped_documents.parquet")
+    spark.createDataFrame([], "company_id int, company_name string, aliases array<string>").write.parquet(f"{tmp_path}/companies.parquet")
+    spark.createDataFrame([], "role_id int, title string, aliases array<string>").write.parquet(f"{tmp_path}/role_titles.parquet")
     spark.createDataFrame([(story,)], "c string").select(text.content_key(F.col("c")).alias("content_hash")).write.parquet(f"{tmp_path}/processed_documents.parquet")
     got = {r["record_no"]: r["filter_reason"] for r in curation._run(spark, str(tmp_path)).collect()}
     assert got[1] == "exact_duplicate" and got[2] != "exact_duplicate"
+
+
+def test_entities_by_lists(spark):
+    companies = spark.createDataFrame([(1, "Northern Data", ["ND"]), (2, "Northern Data Labs", None)], "company_id int, company_name string, aliases array<string>")
+    roles = spark.createDataFrame([(1, "Software Engineer", ["SDE"]), (2, "Data Analyst II", None)], "role_id int, title string, aliases array<string>")
+    rows = [
+        (1, "nd Interview Experience for sde-2", "a heap and a SQL query"),
+        (2, "acme books interview experience", "I applied for Software Engineer 3 there"),
+        (3, "A story", "x " * 300 + "so northern data labs called, once nd; data analyst ii"),
+        (4, None, None),
+    ]
+    got = {r["n"]: (r["company"], r["role"], r["topics"]) for r in curation.entities(spark.createDataFrame(rows, "n int, clean_title string, content string"), companies, roles).collect()}
+    assert got == {
+        1: ("Northern Data", "Software Engineer 2", ["dsa", "sql_dbms"]),
+        2: ("Acme Books", "Software Engineer 3", []),
+        3: ("Northern Data Labs", "Data Analyst 2", []),
+        4: (None, None, []),
+    }
