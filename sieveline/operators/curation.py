@@ -145,14 +145,16 @@ def safe_enum(c: Column, valid: list[str]) -> Column:
     return F.when(v.isin(valid), v)
 
 
-def missing_fields(columns: list[str] = rules.REQUIRED) -> Column:
-    """Names of the required columns that are NULL or blank, in order."""
-    return F.array_compact(F.array(*[F.when(text.is_blank(F.col(c).cast("string")), F.lit(c)) for c in columns]))
+def missing_fields(columns: list[str] = rules.REQUIRED, held: dict[str, Column] | None = None) -> Column:
+    """Names of the required columns that are NULL or blank, in order; ``held`` gives their values if not the columns."""
+    values = held or {c: F.col(c) for c in columns}
+    return F.array_compact(F.array(*[F.when(text.is_blank(values[c].cast("string")), F.lit(c)) for c in columns]))
 
 
 def validate(df: DataFrame, required: list[str] = rules.REQUIRED) -> DataFrame:
-    missing = missing_fields([c for c in required if c in df.columns])
-    df = df.withColumn("missing", missing)
+    """A required column that is NULL, blank or not there is missing; of titles the cleaned one counts, if there is one."""
+    held = {c: F.col(c) for c in required if c in df.columns} | ({"title": F.col("clean_title")} if "clean_title" in df.columns else {})
+    df = df.withColumn("missing", missing_fields(required, {c: held.get(c, F.lit(None)) for c in required}))
     reason = F.when(F.size("missing") > 0, F.concat(F.lit("missing_"), F.array_join("missing", "_"))).when(~text.platform(F.col("source_platform")).isin(rules.VALID_PLATFORMS), "invalid_platform")
     for name, valid in rules.ENUMS.items():
         if name in df.columns:
@@ -193,7 +195,7 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "scraped_documents")
 
 
-STEPS = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator", "entity_extractor"]
+STEPS = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator", "entity_extractor", "schema_validator"]
 
 
 def _run(spark: SparkSession, d: str) -> DataFrame:

@@ -175,3 +175,14 @@ def test_entities_by_lists(spark):
         3: ("Northern Data Labs", "Data Analyst 2", []),
         4: (None, None, []),
     }
+
+
+def test_validate_is_the_last_step(spark):
+    assert curation.STEPS[-1] == "schema_validator"
+    full = "d gfg u h t c firm job".split()
+    rows = [(1, *full, "t"), (2, *full[:4], " ", *full[5:], " "), (3, *full[:6], None, full[7], "t"), (4, "d", "blog", *full[2:], "t"), (5, *full, "")]
+    df = spark.createDataFrame(rows, "n int, " + ", ".join(f"{c} string" for c in curation.rules.REQUIRED) + ", clean_title string")
+    got = {r["n"]: (r["filter_reason"], r["title"]) for r in curation.validate(df).collect()}
+    assert got == {1: (None, "t"), 2: ("missing_title", " "), 3: ("missing_company", "t"), 4: ("invalid_platform", "t"), 5: ("missing_title", "t")}
+    assert {r["filter_reason"] for r in curation.validate(df.drop("role").where("n = 1")).collect()} == {"missing_role"}
+    assert [r["step"] for r in curation.step_stats(curation.validate(df), curation.STEPS).collect()][-1] == "schema_validator"
