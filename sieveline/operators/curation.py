@@ -114,16 +114,20 @@ def deduplicate(df: DataFrame, existing: DataFrame | None = None, key: str = "co
     return tag(df, "deduplicator", reason).drop("__rank", "__seen")
 
 
+def titled_company(title: Column) -> Column:
+    """The first form of a title that gives a company of 2 to 50 signs."""
+    found = [text.strip(F.regexp_extract(title, p, 1)) for p in rules.TITLE_COMPANY]
+    return F.coalesce(*[F.when(F.length(t).between(2, 50), t) for t in found])
+
+
 def entities(df: DataFrame, companies: DataFrame | None = None, roles: DataFrame | None = None) -> DataFrame:
     """Company and role by the title's form and the lists' names and aliases, topics, level, types, rounds, outcome
     and difficulty from title and text."""
     c, low = F.col("content"), F.lower("content")
-    titled = [F.nullif(text.strip(F.regexp_extract("clean_title", p, 1)), F.lit("")) for p in rules.TITLE_COMPANY]
-    fit = [F.when(F.length(t).between(2, 50), t) for t in titled]
     types = F.array_compact(F.array(*[F.when(c.rlike(text.any_of(k)), F.lit(n)) for n, k in rules.INTERVIEW_TYPES.items()]))
     tail = F.substring(c, F.floor(F.length(c) * 0.7).cast("int") + 1, F.length(c))
     return (
-        df.withColumn("__named", named(F.col("clean_title"), c, F.coalesce(*fit), alias_map(companies, "company_id", "company_name"), alias_map(roles, "role_id", "title")))
+        df.withColumn("__named", named(F.col("clean_title"), c, titled_company(F.col("clean_title")), alias_map(companies, "company_id", "company_name"), alias_map(roles, "role_id", "title")))
         .select(*[F.col(f"`{x}`") for x in df.columns], F.col("__named.company"), F.col("__named.role"), F.col("__named.topics"))
         .withColumn("experience_level", text.first_label(F.concat_ws(" ", "clean_title", c), rules.LEVELS, F.lit("unknown")))
         .withColumn("interview_types", F.when(F.size(types) == 0, F.array(F.lit("unknown"))).otherwise(types))
@@ -277,6 +281,10 @@ def q_markdown(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.md5(text.chain(F.replace("text", F.lit("\r"), F.lit("")), simple)).alias("plain"))
 
 
+def q_markdown_all(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.md5(text.strip_markdown(F.replace("text", F.lit("\r"), F.lit("")))).alias("plain"))
+
+
 def q_html(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(F.col("text").contains("<")).select("doc_id", text.strip_html(F.col("text")).alias("plain"))
 
@@ -327,6 +335,10 @@ def q_title_company(spark: SparkSession, d: str) -> DataFrame:
     return _raw(spark, d).select("record_no", F.nullif(text.strip(F.regexp_extract(F.coalesce("title", F.lit("")), p, 1)), F.lit("")).alias("company"))
 
 
+def q_title_company_all(spark: SparkSession, d: str) -> DataFrame:
+    return _raw(spark, d).select("record_no", titled_company(F.col("title")).alias("company"))
+
+
 def q_alias(spark: SparkSession, d: str) -> DataFrame:
     """The longest listed name or alias among a title's word runs: an equi-join on runs, no scan of all aliases."""
     listed = table(spark, d, "companies")
@@ -357,7 +369,7 @@ QUERIES = {
     "language_gate": q_language, "pii_counts": q_pii_counts, "pii_redact": q_pii_redact, "pii_emails": q_pii_portable, "normalized_documents": q_normalized, "whitespace_normalize": q_spaces,
     "literal_encoding_fix": q_literals, "emoji_strip": q_emoji, "markdown_strip": q_markdown, "html_strip": q_html, "document_id_from_url": q_document_id, "platform_alias": q_platform,
     "enum_safe_cast": q_enums, "required_fields_missing": q_missing, "interview_types_filter": q_types, "level_first_match": q_labels, "outcome_tail_first": q_outcome, "num_rounds": q_rounds,
-    "title_company": q_title_company, "alias_lookup_longest": q_alias, "dedup_existing_hash_anti": q_dedup_existing, "shingle_counts": q_shingles,
+    "title_company": q_title_company, "title_company_all": q_title_company_all, "markdown_strip_all": q_markdown_all, "alias_lookup_longest": q_alias, "dedup_existing_hash_anti": q_dedup_existing, "shingle_counts": q_shingles,
 }
 
 _STRIP = r"regexp_replace({0}, '^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$', '', 'g')"

@@ -186,3 +186,14 @@ def test_validate_is_the_last_step(spark):
     assert got == {1: (None, "t"), 2: ("missing_title", " "), 3: ("missing_company", "t"), 4: ("invalid_platform", "t"), 5: ("missing_title", "t")}
     assert {r["filter_reason"] for r in curation.validate(df.drop("role").where("n = 1")).collect()} == {"missing_role"}
     assert [r["step"] for r in curation.step_stats(curation.validate(df), curation.STEPS).collect()][-1] == "schema_validator"
+
+
+def test_whole_rule_lists(spark, tmp_path):
+    titles = [(1, "Acme Labs Interview Experience"), (2, "Selected at Acme Labs"), (3, "Hiring Process at Acme Labs"), (4, "nothing"), (5, None)]
+    spark.createDataFrame(titles, "record_no bigint, title string").write.parquet(f"{tmp_path}/scraped_documents.parquet")
+    got = {r["record_no"]: r["company"] for r in curation.QUERIES["title_company_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: "Acme Labs", 2: "Acme Labs", 3: "Acme Labs", 4: None, 5: None}
+    marked = "> said **bold** and _slanted_ `code`\r\n---\n```\nx = 1\n```\n"
+    spark.createDataFrame([(1, marked)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plain = spark.range(1).select(F.md5(F.lit("said bold and slanted code\n\n [code block removed] \n")).alias("h")).first()["h"]
+    assert curation.QUERIES["markdown_strip_all"](spark, str(tmp_path)).first()["plain"] == plain
