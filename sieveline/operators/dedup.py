@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sieveline.functions.hashing import banded, runs_of, similar
 from sieveline.functions.text import content_key, is_blank, words
 from sieveline.plans.runtime import ensure_spread, staged, table
 
@@ -23,8 +24,6 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
 def word_shingles(df: DataFrame, key: str, content: str, size: int, least: int) -> DataFrame:
     """(key, n, shingles) of every row with at least ``least`` distinct runs of ``size`` words split at white
     space; ``shingles`` is the sorted set of their hashes as little-endian 64-bit integers."""
-    from sieveline.llm.shingles import GOLDEN, mix  # noqa: PLC0415
-
     hashed = ensure_spread(df.select(key, content)).select(key, F.transform(words(F.lower(content)), lambda x: F.xxhash64(x)).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,11 +31,7 @@ def word_shingles(df: DataFrame, key: str, content: str, size: int, least: int)
             rows, sets = [], []
             for i, w in enumerate(batch.column(1)):
                 a = np.array(w.values, np.int64).view(np.uint64)
-                n = max(len(a) - size + 1, min(len(a), 1))
-                h = np.zeros(n, np.uint64)
-                for k in range(min(size, len(a))):
-                    h = mix(h * GOLDEN + a[k : k + n])
-                h = np.unique(h)
+                h = runs_of(a, size)
                 if len(h) >= least:
                     rows.append(i)
                     sets.append(h.tobytes())
@@ -48,9 +43,6 @@ def word_shingles(df: DataFrame, key: str, content: str, size: int, least: int)
 def similar_pairs(sets: DataFrame, key: str, share: int, of: int, bands: int, rows: int) -> DataFrame:
     """(a, b), a < b: pairs of ``word_shingles`` with a Jaccard similarity of at least ``share / of``. Candidates
     agree in a band of MinHash values; each is verified on the whole sets."""
-    from sieveline.llm.dartminhash import banded  # noqa: PLC0415
-    from sieveline.llm.shingles import similar  # noqa: PLC0415
-
     postings = staged(banded(sets, key, bands, rows).select(key, "n", F.explode("bands").alias("band")), "near-bands")
     left = postings.select("band", F.col(key).alias("a"), F.col("n").alias("na"))
     right = postings.select("band", F.col(key).alias("b"), F.col("n").alias("nb"))
