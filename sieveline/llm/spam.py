@@ -1,14 +1,16 @@
 """Problem 9: pages of repeated key phrases, link lists, hashtags and product tags.
 
-Every text is marked in one pass: links with their captions, runs of hashtags, product lines, and the
-word runs that recur in it. Two statistics over the whole corpus then tell stuffing from plain prose:
+Distinct texts are cut into words a whole Arrow batch at once, on the bytes of its buffer. Counts over the whole
+corpus, of words, of pairs of neighbouring words and of runs that a text repeats, then tell stuffing from plain prose:
 
-* a run of three or four words that recurs in a page counts as stuffed if, among all texts that repeat it, most
-  repeat it at least three times: turns of phrase recur once in a while, key phrases are hammered;
-* the mean pointwise mutual information of neighbouring words, from counts over all texts, of stretches
-  that lack sentences: word salad joins words that the corpus does not.
+* a run of two to four words is a collocation if the mean pointwise mutual information of its neighbours exceeds
+  ``bound``; it counts as stuffed where a page repeats it three times or more, if among all texts that repeat it most
+  hammer it so: turns of phrase recur once in a while, key phrases are hammered;
+* a stretch without the end of a sentence is word salad if the mean normalised pointwise mutual information of its
+  neighbours, counted in all other texts, is below ``coherent``: it joins words that the corpus does not.
 
-A page is flagged if the marked characters are more than half of its characters.
+Links with their captions, hashtags and product lines are marked by their form. A page is flagged if the marked
+characters are more than half of its characters.
 """
 
 from __future__ import annotations
@@ -22,122 +24,221 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.shingles import GOLDEN, mix
+from sieveline.functions.hashing import GOLDEN, mix
 from sieveline.plans.runtime import ensure_spread, salted_join, staged
 
 #: Lengths in words of the runs whose recurrence is counted.
-RUNS = (3, 4)
-WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
+RUNS = (2, 3, 4)
+#: Marks nearer to each other than this many characters are one mark.
+GAP = 3
 _HOST = r"(?:[a-z0-9-]+\.)+[a-z]{2,}"
-URL = rf"(?:(?:https?|hxxps?|ftp)://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+|{_HOST}/[^\s<>\"')\]]+)"
-LINKS = re.compile(
-    rf"\[[^\]\n]{{1,120}}\]\({URL}\)"  # [caption](link)
-    rf"|<a\s[^>]*>[^<]{{0,160}}</a>"
-    rf"|(?:(?<=\n)|(?<=^)|(?<=\s))(?:\d{{1,3}}[.)]|[-*•·])\s[^\n]{{1,110}}?\s?(?:[:»|>–—-]|=>|->)?\s?{URL}"  # list item with a link
-    rf"|{URL}",
-    re.IGNORECASE,
-)
-HASHTAGS = re.compile(r"#[^\W\d_]\w*(?:[\s,]+#[^\W\d_]\w*)*")
-_PRICE = r"(?:(?:EUR|USD|INR|GBP|CHF|Rs\.?|[$€£₹])\s?\d[\d.,]*|\d[\d.,]*\s?(?:EUR|USD|INR|GBP|CHF|€|₹))"
-_BAR = r"\s*(?:[|,;/–—-]|//)\s*"
-PRODUCTS = re.compile(rf"(?:[^\W\d_][\w-]*\s){{1,5}}\d{{1,4}}{_BAR}(?:SKU|EAN|Art\.?|Item|Ref)\W{{0,3}}\w+{_BAR}{_PRICE}(?:\s(?:new|sale|used|in stock|sold out|free shipping|[★☆⭐]+))?|(?:SKU|EAN)\W{{0,3}}\w+{_BAR}{_PRICE}", re.IGNORECASE)
-#: Signs without which no link or product line can be there.
-_HOSTED = re.compile(r"[a-z]\.[a-z]{2,10}/", re.IGNORECASE)
-_CODED = re.compile(r"\b(?:SKU|EAN|Art|Item|Ref)\b", re.IGNORECASE)
-CODE = re.compile(r"```.*?```", re.DOTALL)
-_STOP = re.compile(r"[.!?।؟…](?=\s|$)|\n+|\r+")
-_COMMA = re.compile(r"[,;|/•·]")
-
-
-def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            if end > out[-1][1]:
-                out[-1] = (out[-1][0], end)
-        else:
-            out.append((start, end))
-    return out
-
-
-class Marker:
-    """Marks of one text; word hashes are kept in a bounded memory."""
-
-    def __init__(self, memory: int = 200_000):
-        self.memory, self.words = memory, {}
-
-    def hashes(self, words: list[str]) -> np.ndarray:
-        known = self.words
-        if len(known) > self.memory:
-            known.clear()
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w.lower())
-            out.append(h)
-        return np.array(out, np.uint64)
-
-    def mark(self, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-        """(marked spans, stretches between marks and code) of a text."""
-        spans = [m.span() for m in LINKS.finditer(text)] if "://" in text or "www." in text.lower() or _HOSTED.search(text) else []
-        if "SKU" in text or "EAN" in text or _CODED.search(text):
-            spans += [m.span() for m in PRODUCTS.finditer(text)]
-        if "#" in text:
-            spans += [m.span() for m in HASHTAGS.finditer(text) if m.group().count("#") >= 2]
-        spans = merge(spans)
-        gone = merge([*spans, *(m.span() for m in CODE.finditer(text))]) if "```" in text else spans
-        free, start = [], 0
-        for s, e in [*gone, (len(text), len(text))]:
-            free.append((start, s))
-            start = e
-        return spans, free
-
-    def words_of(self, text: str, free: list[tuple[int, int]]) -> list[str]:
-        return WORD.findall(text) if len(free) == 1 else [w for s, e in free for w in WORD.findall(text, s, e)]
-
-    def places(self, text: str, free: list[tuple[int, int]]) -> np.ndarray:
-        """(n, 2) spans of the same words."""
-        return np.array([m.span() for s, e in free for m in WORD.finditer(text, s, e)], np.int32).reshape(-1, 2)
-
-
-def runs(h: np.ndarray, size: int) -> np.ndarray:
-    """One hash for each run of ``size`` words."""
-    n = len(h) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    g = np.full(n, size, np.uint64)
-    for k in range(size):
-        g = mix(g * GOLDEN + h[k : k + n])
-    return g
-
-
-def pairs(h: np.ndarray) -> np.ndarray:
-    return mix(mix(h[:-1]) * GOLDEN + h[1:]) if len(h) > 1 else np.empty(0, np.uint64)
-
-
-def listings(text: str, at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Word ranges of stretches that lack sentences: very long without an end, or many short phrases."""
-    if len(at) < 12:
-        return
-    stops = [m.start() for m in _STOP.finditer(text)] + [len(text)]
-    edges = np.searchsorted(at[:, 0], stops)
-    first = 0
-    for last in edges.tolist():
-        n = last - first
-        if n >= 12:
-            stretch = text[at[first, 0] : at[last - 1, 1]]
-            cuts = len(_COMMA.findall(stretch))
-            if (cuts >= 4 and n / (cuts + 1) <= 7) or n >= 60:
-                yield first, last
-        first = last
+_URL = re.compile(rf"(?:https?|hxxps?|ftp)://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+|(?<![\w.@-]){_HOST}/[^\s<>\"')\]]+", re.IGNORECASE)
+_ANCHOR = re.compile(r"<a\s[^>]*>[^<]*</a>", re.IGNORECASE)
+_ITEM = re.compile(r"[^\S\n]*(?:\d{1,3}[.)]|[-*•·])[^\S\n]")
+HASHTAGS = re.compile(r"#[^\W\d_]\w*(?:[\s,]{1,3}#[^\W\d_]\w*)*")
+_PRICE = r"(?:(?:EUR|USD|INR|GBP|CHF|Rs\.?|[$€£₹])[ \t]?\d[\d.,]*|\d[\d.,]*[ \t]?(?:EUR|USD|INR|GBP|CHF|€|₹))"
+_BAR = r"[ \t]*(?:[|,;/–—-]|//)[ \t]*"
+_CODES = ("sku", "ean", "art", "item", "ref")
+_NUMBERED = re.compile(rf"\b(?:SKU|EAN|Art\.?|Item|Ref)[^\w\n]{{0,3}}\w+{_BAR}{_PRICE}(?:[ \t](?:new|sale|used|in stock|sold out|free shipping|[★☆⭐]+))?", re.IGNORECASE)
+_PRODUCT = re.compile(rf"(?:[^\W\d_][\w-]*[ \t]){{1,5}}\d{{1,4}}{_BAR}\Z")
+CODE = re.compile(rb"```.*?```", re.DOTALL)
+
+# --- words of a batch, on bytes -------------------------------------------------------------------------
+_KIND = np.zeros(256, bool)
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_SPACE = np.zeros(256, bool)
+_SPACE[[0, 9, 10, 11, 12, 13, 32]] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+
+
+class Words:
+    """The words of texts (UTF-8) laid end to end with a zero byte after each: places, hashes and texts.
+
+    A word is a longest run of ASCII letters and digits and of bytes from 0x80 on, but for the blocks of
+    punctuation, signs and emoji; Latin letters count in lower case. Fenced code has no words.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = joined = b"\0".join([*texts, b""])
+        self.bytes = data = np.frombuffer(joined, np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.ends = np.cumsum(sizes) - 1  # the zero byte of each text
+        self.begins = self.ends - sizes + 1
+        self.texts = len(texts)
+        word = _KIND[data]
+        low = _LOWER[data]
+        for lead, width in ((0xE2, 3), (0xC2, 2), (0xF0, 4)):
+            at = np.flatnonzero(data == lead)
+            for k in range(width if len(at) else 0):
+                word[at + k] = False
+        for lead, second, third in ((0xE3, 0x80, None), (0xE0, 0xA5, (0xA4, 0xA5)), (0xEF, 0xB8, None), (0xEF, 0xBB, (0xBF,))):
+            at = np.flatnonzero(data == lead)
+            at = at[data[at + 1] == second]
+            if third:
+                at = at[np.isin(data[at + 2], third)]
+            for k in range(3):
+                word[at + k] = False
+        at = np.flatnonzero(data == 0xC3) + 1
+        at = at[(data[at] < 0x9F) & (data[at] != 0x97)]
+        low[at] += 32  # capital letters of Latin-1
+        if b"```" in joined:
+            for m in CODE.finditer(joined):
+                if b"\0" not in m.group():
+                    word[m.start() : m.end()] = False
+        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+        if word[0]:
+            edge = np.r_[0, edge]
+        self.start, self.stop = edge[::2], edge[1::2]  # the last byte is no word byte
+        size = self.stop - self.start
+        first = np.cumsum(size) - size
+        at = np.flatnonzero(word)
+        place = np.arange(len(at)) - np.repeat(first, size)
+        power = np.multiply.accumulate(np.full(int(size.max(initial=1)), _STEP, np.uint64))
+        self.hash = mix(np.add.reduceat(_VALUE[low[at]] * power[place], first)) if len(at) else np.empty(0, np.uint64)
+        self.text = np.searchsorted(self.ends, self.start)
+        # bytes that begin a character, summed: places in characters
+        self.chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+
+    def length(self) -> np.ndarray:
+        """Characters of each text."""
+        return self.chars[self.ends] - self.chars[self.begins]
+
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first word) of every run of ``size`` words inside one text."""
+        n = len(self.hash) - size + 1
+        if n <= 0:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        g = np.full(n, size, np.uint64)
+        for k in range(size):
+            g = mix(g * GOLDEN + self.hash[k : k + n])
+        at = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
+        return g[at], at
+
+
+def repeated(g: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, group starts, group sizes) of the keys that occur more than once under one owner; rows of a group
+    stand together in ascending order."""
+    key = mix(g ^ (owner.astype(np.uint64) * GOLDEN))
+    bits = max(10, int(len(key)).bit_length() + 2)
+    slot = (key >> np.uint64(64 - bits)).astype(np.int64)
+    rows = np.flatnonzero(np.bincount(slot, minlength=1 << bits)[slot] > 1)  # a key alone in its slot has no equal
+    rows = rows[np.argsort(key[rows], kind="stable")]
+    first = np.flatnonzero(np.r_[True, key[rows][1:] != key[rows][:-1]]) if len(rows) else np.empty(0, np.int64)
+    n = np.diff(np.r_[first, len(rows)])
+    return rows, first[n > 1], n[n > 1]
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def stretches(w: Words, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end) of the stretches of ``least`` words or more without the end of a sentence."""
+    data = w.bytes
+    stop = (data == 46) | (data == 33) | (data == 63)
+    at = np.flatnonzero(stop[:-1] & _SPACE[data[1:]])
+    wide = np.flatnonzero((data[:-2] == 0xE0) & (data[1:-1] == 0xA5) & ((data[2:] == 0xA4) | (data[2:] == 0xA5)) | (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] == 0xA6))
+    wide = np.r_[wide, np.flatnonzero((data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (data[2:] == 0x82))]
+    edges = np.unique(np.searchsorted(w.start, np.sort(np.r_[at, wide, w.ends])))
+    first = np.r_[0, edges[:-1]] if len(edges) else edges
+    keep = edges - first >= least
+    return first[keep], edges[keep]
+
+
+def marks(w: Words) -> list[tuple[int, int]]:
+    """Spans in bytes of links with their captions and list items, hashtags and product lines, by their form; of any
+    length. Signs are sought on the whole block, patterns are tried only at them."""
+    data, raw, spans = w.bytes, w.raw, []
+    text = lambda a, b: raw[a:b].decode("utf-8", "replace")
+    line_of = lambda at: max(raw.rfind(b"\n", 0, at), raw.rfind(b"\0", 0, at)) + 1
+    signs = link_signs(w)
+    if len(signs):
+        fence = np.flatnonzero(_FENCE[data])
+        right = fence[np.searchsorted(fence, signs)]
+        left = np.r_[-1, fence][np.searchsorted(fence, signs)] + 1
+        last = 0
+        for a, b in np.unique(np.stack([left, right], axis=1), axis=0).tolist():
+            token = text(a, b)
+            for m in _URL.finditer(token):
+                start, end = (a + len(token[: x].encode()) for x in m.span())
+                line = max(line_of(start), last)
+                head = text(line, start)
+                item = _ITEM.match(head)
+                if item:
+                    start = line
+                elif head.endswith("](") and "[" in head[:-2]:  # [caption](link)
+                    start, end = line + len(head[: head.rindex("[", 0, len(head) - 2)].encode()), end + (raw[end : end + 1] == b")")
+                spans.append((start, end))
+                last = end
+    for at in np.unique(w.text[np.searchsorted(w.start, anchor_signs(w)).clip(max=len(w.start) - 1)]).tolist() if len(w.start) else ():
+        page = text(w.begins[at], w.ends[at])
+        spans += [tuple(int(w.begins[at]) + len(page[:x].encode()) for x in m.span()) for m in _ANCHOR.finditer(page)]
+    last = 0
+    for at in w.start[np.isin(w.hash, _CODE_HASHES)].tolist():
+        end = min(x for x in (raw.find(b"\n", at), raw.find(b"\0", at)) if x >= 0)
+        rest = text(at, end)
+        if m := _NUMBERED.match(rest):
+            line = max(line_of(at), last)
+            head = text(line, at)
+            name = _PRODUCT.search(head)
+            last = at + len(m.group().encode())
+            spans.append((line + len(head[: name.start()].encode()) if name else at, last))
+    at = hash_signs(w)
+    for t in np.unique(np.searchsorted(w.ends, at)).tolist() if len(at) else ():
+        page = text(w.begins[t], w.ends[t])
+        spans += [tuple(int(w.begins[t]) + len(page[:x].encode()) for x in m.span()) for m in HASHTAGS.finditer(page) if m.group().count("#") >= 2]
+    return spans
+
+
+_CODE_HASHES = Words([" ".join(_CODES).encode()]).hash
+_FENCE = _SPACE.copy()
+_FENCE[[34, 39, 40, 41, 60, 62, 91, 93]] = True
+
+
+def link_signs(w: Words) -> np.ndarray:
+    """Places of slashes after a dot or a slash in the same token, and of dots after "www"."""
+    data = w.bytes
+    slash, dots = np.flatnonzero(data == 47), np.flatnonzero(data == 46)
+    space = np.flatnonzero(_SPACE[data])
+    before = lambda x: np.r_[-1, x][np.searchsorted(x, slash)]
+    found = slash[(before(dots) > before(space)) | ((slash > 0) & np.isin(data[slash - 1], (47, 58)))]
+    dots = dots[dots >= 3]
+    return np.r_[found, dots[(data[dots - 1] | 32 == 119) & (data[dots - 2] | 32 == 119) & (data[dots - 3] | 32 == 119)]]
+
+
+def hash_signs(w: Words) -> np.ndarray:
+    at = np.flatnonzero(w.bytes[:-1] == 35)
+    return at[_KIND[w.bytes[at + 1]]]
+
+
+def anchor_signs(w: Words) -> np.ndarray:
+    at = np.flatnonzero(w.bytes[:-2] == 60)
+    return at[(w.bytes[at + 1] | 32 == 97) & _SPACE[w.bytes[at + 2]]]
+
+
+def signed_lines(w: Words) -> np.ndarray:
+    """Which bytes lie in a line that holds a sign of a link, hashtag or product; of texts with an anchor all do."""
+    data = w.bytes
+    edges = np.flatnonzero((data == 10) | (data == 0))
+    line = np.zeros(len(edges) + 1, bool)
+    line[np.searchsorted(edges, np.concatenate([link_signs(w), hash_signs(w), w.start[np.isin(w.hash, _CODE_HASHES)]]))] = True
+    inside = np.repeat(line[: len(edges)], np.diff(np.r_[-1, edges]))  # the last byte ends a line
+    for t in np.unique(np.searchsorted(w.ends, anchor_signs(w))).tolist():
+        inside[w.begins[t] : w.ends[t]] = True
+    return inside
 
 
 class Tally:
-    """Counts of 64-bit keys in columns, kept in bounded memory and given out sorted when full."""
+    """Counts of 64-bit keys with a flag, kept in bounded memory and given out sorted when full."""
 
-    def __init__(self, columns: int, limit: int = 1_500_000):
-        self.columns, self.limit, self.keys, self.flags, self.size = columns, limit, [], [], 0
+    def __init__(self, limit: int = 1_500_000):
+        self.limit, self.keys, self.flags, self.size = limit, [], [], 0
 
     def add(self, keys: np.ndarray, flags: np.ndarray | None = None) -> None:
         self.keys.append(keys)
@@ -151,149 +252,255 @@ class Tally:
         """(keys, how often each, sum of flags of each); empties the tally."""
         keys, flags = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (self.keys, self.flags))
         self.keys, self.flags, self.size = [], [], 0
+        if not len(flags):
+            keys = np.sort(keys)
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+            return keys[first], np.diff(np.r_[first, len(keys)]), np.zeros(len(first), np.int64)
         values, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
-        flagged = np.bincount(inverse, flags, len(values)).astype(np.int64) if len(flags) else np.zeros(len(values), np.int64)
-        return values, n, flagged
+        return values, n, np.bincount(inverse, flags, len(values)).astype(np.int64)
+
+
+_LISTS = "pairs array<bigint>, firsts array<bigint>, seconds array<bigint>"
+_ROWS = f"h1 bigint, h2 bigint, t string, repeats array<bigint>, stretches array<struct<start: int, stop: int, {_LISTS.replace(' array', ': array')}>>, what string, g bigint, n bigint, m bigint, {_LISTS}"
+_LONG = pa.list_(pa.int64())
+_THREE = [("pairs", _LONG), ("firsts", _LONG), ("seconds", _LONG)]
+_SCHEMA = pa.schema([
+    ("h1", pa.int64()), ("h2", pa.int64()), ("t", pa.string()), ("repeats", _LONG), ("stretches", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), *_THREE]))),
+    ("what", pa.string()), ("g", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), *_THREE,
+])
+
+
+def rows_of(size: int, **columns: pa.Array) -> pa.RecordBatch:
+    """A batch of ``size`` rows whose other columns are NULL."""
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type) if size else pa.array([], f.type)) for f in _SCHEMA], schema=_SCHEMA)
 
 
-_PAGES = "n_chars int, marks array<int>, repeats array<struct<g: bigint, spans: array<int>>>, stretches array<struct<start: int, stop: int, pairs: array<bigint>, firsts: array<bigint>, seconds: array<bigint>>>"
-_SPAN, _LONG = pa.list_(pa.int32()), pa.list_(pa.int64())
-_KINDS = [
-    pa.int32(), _SPAN, pa.list_(pa.struct([("g", pa.int64()), ("spans", _SPAN)])),
-    pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("pairs", _LONG), ("firsts", _LONG), ("seconds", _LONG)])),
-]
+def longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def marked(df: DataFrame, key: str, text: str, share: float) -> DataFrame:
-    """One pass over all texts. Rows of three kinds:
+def _spread_mask(n: int, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    edge = np.zeros(n + 1, np.int32)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, stop, -1)
+    return np.cumsum(edge)[:n] > 0
 
-    * pages that could be flagged if every recurring run and every stretch counted (all others cannot):
-      (key, n_chars, marks, repeats, stretches);
-    * ``habit``: keys of recurring runs, in how many texts they recur, and in how many three times or more;
-    * ``count``: keys of words (even) and pairs of words (odd) and how often they occur.
+
+def examine(w: Words, share: float, least: int):  # noqa: ANN201
+    """(habits, pages, phrases, words, joints) of the texts of ``w``.
+
+    Habits are (runs that a text repeats, whether three times or more) for each length. Pages are (text, runs repeated
+    three times, stretches) of the texts in which such runs, stretches and lines with signs together exceed ``share``:
+    all others cannot be flagged. Phrases are the distinct runs of the pages with their joints.
+    """
+    words = w.hash & ~np.uint64(1)
+    n = len(words)
+    joint = mix(mix(w.hash[:-1]) * GOLDEN + w.hash[1:]) | np.uint64(1) if n > 1 else np.empty(0, np.uint64)
+    inner = np.flatnonzero(w.text[1:] == w.text[:-1])
+    habits, hammered = [], []
+    inside = np.zeros(n, bool)
+    for size in RUNS:
+        g, first = w.runs(size)
+        rows, at, counts = repeated(g, w.text[first])
+        often = counts >= 3
+        habits.append((g[rows[at]], often.astype(np.int64)))
+        at, counts = at[often], counts[often]
+        where = rows[np.repeat(at, counts) + _within(counts)]
+        hammered.append((size, g[rows[at]], first[rows[at]]))
+        for k in range(size):
+            inside[first[where] + k] = True
+    begin, end = stretches(w, least)
+    # what can be marked at most: a mark is bridged to the next one within GAP characters
+    data = signed_lines(w)
+    at = np.flatnonzero(inside)
+    if len(at):
+        joined = np.r_[inside[1:], False][at] & (np.r_[w.text[1:], -1][at] == w.text[at])
+        data |= _spread_mask(len(data), w.start[at], np.where(joined, np.r_[w.start[1:], 0][at], w.stop[at]))
+    if len(begin):
+        data |= _spread_mask(len(data), w.start[begin], w.stop[end - 1])
+    opened = np.r_[0, np.cumsum(np.r_[data[0], data[1:] & ~data[:-1]])]
+    covered = np.r_[0, np.cumsum(data & ((w.bytes & 0xC0) != 0x80))]
+    most = covered[w.ends] - covered[w.begins] + GAP * (opened[w.ends + 1] - opened[w.begins] + 1)
+    wanted = most > share * w.length()
+    pages = {t: (t, [], []) for t in np.flatnonzero(wanted).tolist()}
+    phrases = []
+    for size, g, first in hammered:
+        own = np.flatnonzero(wanted[w.text[first]])
+        if not len(own):
+            continue
+        order = own[np.argsort(w.text[first[own]], kind="stable")]
+        texts, start = np.unique(w.text[first[order]], return_index=True)
+        for t, part in zip(texts.tolist(), np.split(g[order], start[1:]), strict=True):
+            pages[t][1].append(part)
+        kept, at = np.unique(g[own], return_index=True)
+        at = first[own][at]
+        phrases.append((kept, *[np.stack([x[at + k] for k in range(size - 1)], axis=1) for x in (joint, words, words[1:])]))
+    numeric = _DIGIT[w.bytes[w.start]]
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        t = int(w.text[a])
+        if wanted[t]:
+            lettered = np.flatnonzero(~numeric[a : b - 1] & ~numeric[a + 1 : b]) + a
+            if len(lettered) >= least - 1:
+                base = w.begins[t]
+                cells = {c: x.view(np.int64).tolist() for c, x in (("pairs", joint[lettered]), ("firsts", words[lettered]), ("seconds", words[lettered + 1]))}
+                pages[t][2].append({"start": int(w.start[a] - base), "stop": int(w.stop[b - 1] - base), **cells})
+    return habits, list(pages.values()), phrases, words, joint[inner]
+
+
+def blocks(column: pa.Array, size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of runs of rows with about ``size`` bytes together; a zero byte becomes a blank."""
+    at, held, texts = 0, 0, []
+    for i, t in enumerate(column.cast(pa.binary()).to_pylist()):
+        texts.append(t.replace(b"\0", b" "))
+        held += len(t)
+        if held >= size:
+            yield at, texts
+            at, held, texts = i + 1, 0, []
+    if texts:
+        yield at, texts
+
+
+def examined(texts: DataFrame, share: float, least: int, block: int = 1_000_000) -> DataFrame:
+    """One pass over (h1, h2, t), a block of about ``block`` bytes at a time. Rows of four kinds:
+
+    * ``page``: texts that could be flagged, with their runs repeated three times, and stretches in bytes;
+    * ``phrase``: such a run ``g`` and its joints;
+    * ``habit``: runs that texts repeat, in how many texts, and in how many three times or more;
+    * ``count``: keys of words (even) and of pairs of neighbouring words (odd) and how often they occur.
     """
-    kind = dict(df.dtypes)[key]
-    names = [key, "n_chars", "marks", "repeats", "stretches", "what", "g", "n", "m"]
 
-    def tally_rows(what: str, tally: Tally, like: pa.DataType) -> pa.RecordBatch:
+    def tally_rows(what: str, tally: Tally) -> pa.RecordBatch:
         g, n, m = tally.take()
-        blank = [pa.nulls(len(g), t) for t in (like, *_KINDS)]
-        return pa.RecordBatch.from_arrays([*blank, pa.array([what] * len(g), pa.string()), pa.array(g.astype(np.uint64).view(np.int64)), pa.array(n.astype(np.int64)), pa.array(m)], names=names)
+        return rows_of(len(g), what=pa.array([what] * len(g), pa.string()), g=longs(g), n=pa.array(n.astype(np.int64)), m=pa.array(m))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marker, habits, counts, like = Marker(), Tally(2), Tally(1), None
+        habits, counts, known = Tally(), Tally(), np.empty(0, np.uint64)
         for batch in batches:
-            like = batch.column(0).type
-            rows, cols = [], [[], [], [], []]
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                if not t or not t.strip():
-                    continue
-                spans, free = marker.mark(t)
-                words = marker.words_of(t, free)
-                h = marker.hashes(words)
-                counts.add(h & ~np.uint64(1))
-                p = pairs(h) | np.uint64(1)
-                counts.add(p)
-                again, covered = [], list(spans)
-                for size in RUNS:
-                    g = runs(h, size)
-                    order = np.argsort(g, kind="stable")
-                    values, start, n = np.unique(g[order], return_index=True, return_counts=True)
-                    more = n >= 2
-                    if more.any():
-                        habits.add(values[more], (n[more] >= 3).astype(np.int64))
-                    for v in np.flatnonzero(n >= 3).tolist():
-                        where = np.sort(order[start[v] : start[v] + n[v]])
-                        again.append((int(values[v].view(np.int64)), where, size))
-                # words outside every recurring run and stretch bound what can be marked: most pages end here
-                inside = np.zeros(len(words), bool)
-                for _, where, size in again:
-                    for k in range(size):
-                        inside[where + k] = True
-                sizes_of = np.fromiter(map(len, words), np.int64, len(words))
-                loose = max(map(len, _STOP.split(t)), default=0) > 300 or 10 * sum(map(t.count, ",;|/•·")) > len(words)
-                if not loose and len(t) - int(sizes_of[~inside].sum()) <= share * len(t):
-                    continue
-                at = marker.places(t, free)
-                for _, where, size in again:
-                    covered += zip(at[where, 0].tolist(), at[where + size - 1, 1].tolist(), strict=True)
-                found = list(listings(t, at))
-                covered += [(int(at[a, 0]), int(at[b - 1, 1])) for a, b in found]
-                if _covered(covered, len(t)) <= share * len(t):
-                    continue
-                rows.append(i)
-                w = h & ~np.uint64(1)
-                cols[0].append(len(t))
-                cols[1].append([x for s in spans for x in s])
-                cols[2].append([{"g": g, "spans": np.stack([at[where, 0], at[where + size - 1, 1]], axis=1).reshape(-1).tolist()} for g, where, size in again])
-                cols[3].append([{"start": int(at[a, 0]), "stop": int(at[b - 1, 1]), "pairs": p[a : b - 1].view(np.int64).tolist(), "firsts": w[a : b - 1].view(np.int64).tolist(), "seconds": w[a + 1 : b].view(np.int64).tolist()} for a, b in found])
-            if rows:
-                none = [pa.nulls(len(rows), t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), *[pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], *none], names=names)
-            if habits.full():
-                yield tally_rows("habit", habits, like)
-            if counts.full():
-                yield tally_rows("count", counts, like)
-        if like is not None:
-            yield tally_rows("habit", habits, like)
-            yield tally_rows("count", counts, like)
-
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, {_PAGES}, what string, g bigint, n bigint, m bigint")
-
-
-def _covered(spans: list[tuple[int, int]], n: int) -> int:
-    """Characters inside ``spans``; a gap of a few signs between two of them belongs to them."""
-    return sum(min(e, n) - s for s, e in merge([(s, e + 3) for s, e in spans]))
-
-
-def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammered: float = 0.75, coherent: float = 1.5) -> DataFrame:
+            for at, own in blocks(batch.column(2), block):
+                found, pages, phrases, words, joints = examine(Words(own), share, least)
+                counts.add(words)
+                counts.add(joints)
+                for g, often in found:
+                    habits.add(g, often)
+                if pages:
+                    rows = pa.array([at + t for t, _, _ in pages], pa.int32())
+                    repeats = pa.array([np.concatenate(g).view(np.int64) if g else [] for _, g, _ in pages], _LONG)
+                    kept = [pa.array([p[2] for p in pages], _SCHEMA.field("stretches").type)]
+                    yield rows_of(len(rows), h1=batch.column(0).take(rows), h2=batch.column(1).take(rows), t=batch.column(2).take(rows), repeats=repeats, stretches=kept[0], what=pa.array(["page"] * len(rows), pa.string()))
+                for g, *lists in phrases:
+                    new = ~np.isin(g, known)  # runs given out lately are not repeated
+                    known = np.r_[known, g[new]] if len(known) < 500_000 else g[new]
+                    n, width = int(new.sum()), lists[0].shape[1]
+                    offsets = pa.array(np.arange(0, n * width + 1, width), pa.int32())
+                    three = {name: pa.ListArray.from_arrays(offsets, longs(x[new].reshape(-1))) for name, x in zip(("pairs", "firsts", "seconds"), lists, strict=True)}
+                    yield rows_of(n, what=pa.array(["phrase"] * n, pa.string()), g=longs(g[new]), **three)
+                if habits.full():
+                    yield tally_rows("habit", habits)
+                if counts.full():
+                    yield tally_rows("count", counts)
+        yield tally_rows("habit", habits)
+        yield tally_rows("count", counts)
+
+    return texts.mapInArrow(run, _ROWS)
+
+
+def covered(start: np.ndarray, stop: np.ndarray) -> int:
+    """Characters inside the spans; a gap of a few signs between two of them belongs to them."""
+    if not len(start):
+        return 0
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(stop[order])
+    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1] + GAP])
+    return int((reach[np.r_[first[1:] - 1, len(reach) - 1]] - start[first]).sum())
+
+
+def _joints(units: DataFrame, *names: str) -> DataFrame:
+    zipped = units.select(*names, F.explode(F.arrays_zip("pairs", "firsts", "seconds")).alias("z"))
+    return zipped.select(*names, F.col("z.pairs").alias("p"), F.col("z.firsts").alias("a"), F.col("z.seconds").alias("b"))
+
+
+def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammered: float = 0.75, bound: float | None = 1.0, coherent: float | None = 0.0, least: int = 30) -> DataFrame:
     """(key, marked_share) of the texts whose marked characters exceed ``share`` of all.
 
-    ``hammered``: of the texts that repeat a run of words, the part that must repeat it three times or
-    more; ``coherent``: the mean pointwise mutual information below which a stretch without sentences is
-    word salad. NULL, empty and blank texts are never flagged; texts repeated under other keys are each
-    judged alike and count once for the corpus statistics of repeats.
+    ``hammered``: of the texts that repeat a run of words, the part that must repeat it three times or more;
+    ``bound``: the mean pointwise mutual information from which a run is a collocation; ``coherent``: the mean
+    normalised information below which a stretch of ``least`` words or more without the end of a sentence is word
+    salad (pairs with numbers do not count). None switches either test off: no run counts, then, and no stretch.
+
+    NULL, empty and blank texts are never flagged; equal texts are examined once, are judged alike under all their
+    keys and count once in every statistic. An empty table gives no rows; other columns are ignored.
     """
-    source = ensure_spread(df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")))
-    seen = staged(marked(source, "k", "t", share), "p9-marked")
-    pages = seen.where("what is null").select("k", "n_chars", "marks", "repeats", "stretches")
+    source = ensure_spread(df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))).where(F.col("t").rlike(r"\S"))
+    hashed = source.withColumns({"h1": F.xxhash64("t"), "h2": F.xxhash64(F.lit(1), "t")})
+    seen = staged(examined(hashed.select("h1", "h2", "t").dropDuplicates(["h1", "h2"]), share, least), "p9-examined")
+    pages = seen.where("what = 'page'").select("h1", "h2", "t", "repeats", "stretches")
 
     habits = seen.where("what = 'habit'").groupBy("g").agg(F.sum("m").alias("m"), F.sum("n").alias("n")).where(F.col("m") > hammered * F.col("n")).select("g")
-    repeats = pages.select("k", F.explode("repeats").alias("r")).select("k", F.col("r.g").alias("g"), F.col("r.spans").alias("spans"))
-    by_page = salted_join(repeats, habits, ["g"]).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("key_phrases"))
+    phrases = seen.where("what = 'phrase'").select("g", "pairs", "firsts", "seconds").dropDuplicates(["g"])
+    in_runs = staged(_joints(phrases.join(habits, "g"), "g"), "p9-phrases")
+    stretched = pages.select("h1", "h2", F.explode("stretches").alias("s")).select("h1", "h2", "s.*")
+    in_stretches = staged(_joints(stretched, "h1", "h2", "start", "stop").groupBy("h1", "h2", "start", "stop", "p", "a", "b").agg(F.count("*").alias("c")), "p9-joints")
 
-    stretches = pages.select("k", F.explode("stretches").alias("s")).select("k", F.col("s.start").alias("start"), F.col("s.stop").alias("stop"), F.arrays_zip("s.pairs", "s.firsts", "s.seconds").alias("z"))
-    joints = stretches.select("k", "start", "stop", F.explode("z").alias("z")).select("k", "start", "stop", F.col("z.pairs").alias("p"), F.col("z.firsts").alias("a"), F.col("z.seconds").alias("b"))
+    # the counts of the words and pairs that are asked for, then each kind of joint is weighed once
     counts = seen.where("what = 'count'").select("g", "n")
     total = counts.where(F.col("g").bitwiseAND(F.lit(1)) == 0).agg(F.sum("n")).first()[0] or 1
-    wanted = staged(joints.groupBy("k", "start", "stop", "p", "a", "b").agg(F.count("*").alias("c")), "p9-joints")
-    # each kind of joint is weighed once, then returns to its stretches
-    kinds = wanted.select("p", "a", "b").distinct()
-    needed = kinds.select(F.col("p").alias("g")).union(kinds.select("a")).union(kinds.select("b")).distinct()
+    kinds = staged(in_runs.select("p", "a", "b").union(in_stretches.select("p", "a", "b")).distinct(), "p9-kinds")
+    needed = kinds.select(F.explode(F.array("p", "a", "b")).alias("g")).distinct()
     held = staged(counts.join(needed, "g", "left_semi").groupBy("g").agg(F.sum("n").alias("n")), "p9-needed")
-    pmi = (
-        kinds.join(held.select(F.col("g").alias("p"), F.col("n").alias("np")), "p")
-        .join(held.select(F.col("g").alias("a"), F.col("n").alias("na")), "a")
-        .join(held.select(F.col("g").alias("b"), F.col("n").alias("nb")), "b")
-        .select("p", "a", "b", F.log(F.col("np") * F.lit(float(total)) / (F.col("na") * F.col("nb").cast("double"))).alias("pmi"))
-    )
-    salad = salted_join(wanted, pmi, ["p", "a", "b"]).groupBy("k", "start", "stop").agg((F.sum(F.col("pmi") * F.col("c")) / F.sum("c")).alias("pmi")).where(F.col("pmi") < coherent)
-    salad_by_page = salad.groupBy("k").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("salad"))
-
-    together = pages.select("k", "n_chars", "marks").join(by_page, "k", "left").join(salad_by_page, "k", "left")
-    kind = dict(df.dtypes)[key]
+    weighed = kinds
+    for name in ("p", "a", "b"):
+        weighed = weighed.join(held.select(F.col("g").alias(name), F.col("n").alias(f"n{name}")), name)
+    weighed = staged(weighed, "p9-weighed")
+    chance = F.col("na") * F.col("nb").cast("double") / float(total)
+
+    scored = salted_join(in_runs, weighed, ["p", "a", "b"]).groupBy("g").agg(F.avg(F.log(F.col("np") / chance)).alias("pmi"))
+    chosen = scored.where(F.lit(False) if bound is None else F.col("pmi") >= bound).select("g")
+    repeats = pages.select("h1", "h2", F.explode("repeats").alias("g"))
+    by_page = salted_join(repeats, chosen, ["g"]).groupBy("h1", "h2").agg(F.collect_list("g").alias("phrases"))
+
+    # of a joint that no other text has, the normalised information is -1, its limit for pairs that never meet
+    others = F.col("np") - F.col("c")
+    information = F.when(others > 0, F.log(others / chance) / F.greatest(-F.log(others / float(total)), F.lit(1e-9))).otherwise(-1.0)
+    salad = salted_join(in_stretches, weighed, ["p", "a", "b"]).groupBy("h1", "h2", "start", "stop").agg((F.sum(information * F.col("c")) / F.sum("c")).alias("npmi"))
+    salad = salad.where(F.lit(False) if coherent is None else F.col("npmi") < coherent)
+    salad_by_page = salad.groupBy("h1", "h2").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("salad"))
+
+    together = pages.select("h1", "h2", "t").join(by_page, ["h1", "h2"], "left").join(salad_by_page, ["h1", "h2"], "left")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, shares = [], []
-            for i, (n, *lists) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("n_chars", "marks", "key_phrases", "salad")], strict=True)):
-                flat = [x for a in lists if a for x in a]
-                if not flat:
-                    continue
-                covered = _covered(list(zip(flat[::2], flat[1::2], strict=True)), n)
-                if covered > share * n:
-                    rows.append(i)
-                    shares.append(covered / n)
-            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(rows, pa.int32())), pa.array(shares, pa.float64())], names=[key, "marked_share"])
-
-    return together.mapInArrow(judge, f"`{key}` {kind}, marked_share double")
+            chosen_runs, lists = batch.column("phrases"), batch.column("salad")
+            for at, own in blocks(batch.column("t"), 1_000_000):
+                w = Words(own)
+                found = np.array(marks(w), np.int64).reshape(-1, 2)
+                start, stop = [found[:, 0]], [found[:, 1]]
+                # the page's own stuffed runs, looked up as (text, run)
+                held = [np.asarray(chosen_runs[at + t].values, np.int64).view(np.uint64) if chosen_runs[at + t].is_valid else np.empty(0, np.uint64) for t in range(len(own))]
+                keyed = np.concatenate([mix(g ^ (np.full(len(g), t, np.uint64) * GOLDEN)) for t, g in enumerate(held)])
+                for size in RUNS:
+                    g, first = w.runs(size)
+                    first = first[np.isin(mix(g ^ (w.text[first].astype(np.uint64) * GOLDEN)), keyed)]
+                    start.append(w.start[first])
+                    stop.append(w.stop[first + size - 1])
+                for t in range(len(own)):
+                    if lists[at + t].is_valid:
+                        x = np.asarray(lists[at + t].values, np.int64) + w.begins[t]
+                        start.append(x[::2])
+                        stop.append(x[1::2])
+                a, b = np.concatenate(start), np.concatenate(stop)
+                owner, length = np.searchsorted(w.ends, a), w.length()
+                order = np.argsort(owner, kind="stable")
+                a, b, owner = w.chars[a[order]], w.chars[b[order]], owner[order]
+                edges = np.searchsorted(owner, np.arange(len(own) + 1))
+                for t in range(len(own)):
+                    n = covered(a[edges[t] : edges[t + 1]], b[edges[t] : edges[t + 1]])
+                    if n > share * length[t]:
+                        rows.append(at + t)
+                        shares.append(n / int(length[t]))
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(shares, pa.float64())], names=["h1", "h2", "marked_share"])
+
+    flagged = staged(together.mapInArrow(judge, "h1 bigint, h2 bigint, marked_share double"), "p9-flagged")
+    # one text may stand under a third of all keys
+    return salted_join(hashed.select("k", "h1", "h2"), flagged, ["h1", "h2"]).select(F.col("k").alias(key), "marked_share")

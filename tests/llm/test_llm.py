@@ -202,3 +202,45 @@ def test_stuffed_pages(spark):
     df = spark.createDataFrame([*plain, tags, links, words, mixed, (104, None), (105, " "), (106, "")], "doc_id bigint, text string").selectExpr("*", "'k' as k")
     assert {x["doc_id"] for x in spam.stuffed_pages(df, "doc_id", "text").collect()} == {100, 101, 102}
     assert spam.stuffed_pages(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_salad_and_collocations(spark):
+    r = random.Random(8)
+    vocabulary = [f"{a}{b}{c}" for a in "ka lo mi nu re so ta vu".split() for b in "ba de fi go hu ja ke lu".split() for c in "mp rt x".split()]
+    sentences = [" ".join(["i", *[r.choice(vocabulary) for _ in range(9)]]) for _ in range(60)]
+    plain = [(i, ". ".join(r.choice(sentences) for _ in range(14)) + ".") for i in range(80)]
+    loose = (200, " ".join(r.choice(sentences) for _ in range(8)))  # no marks, but the corpus joins these words
+    salad = (201, " ".join(r.sample(vocabulary, 120)))  # repeats nothing
+    spam_list = (202, ", ".join(f"cheap course {r.choice(vocabulary)}" for _ in range(60)))
+    refrain = (203, plain[0][1] + " and so on. and so on. and so on.")
+    numbers = (204, " ".join(str(r.randint(0, 10**6)) for _ in range(200)))
+    copies = [(300 + i, plain[1][1]) for i in range(40)] + [(400 + i, salad[1]) for i in range(3)]
+    rows = [*plain, loose, salad, spam_list, refrain, numbers, *copies]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lambda **kw: {x["doc_id"] for x in spam.stuffed_pages(df, "doc_id", "text", **kw).collect()}
+    assert found() == {201, 202, 400, 401, 402}
+    assert found(coherent=None) == {202} and found(bound=None) == {201, 202, 400, 401, 402} and found(bound=None, coherent=None) == set()
+
+
+def test_words_of_bytes():
+    texts = ["Ünder the  BRIDGE’s end", "", "```x = 1```tail", "a\u200b b — c ★ 😀 हिन्दी।", "É é"]
+    w = spam.Words([t.encode() for t in texts])
+    got = [[] for _ in texts]
+    for t, a, b in zip(w.text.tolist(), w.start.tolist(), w.stop.tolist(), strict=True):
+        got[t].append(w.raw[a:b].decode())
+    assert got == [["Ünder", "the", "BRIDGE", "s", "end"], [], ["tail"], ["a", "b", "c", "हिन्दी"], ["É", "é"]]
+    assert w.hash[-1] == w.hash[-2] and w.length().tolist() == [len(t) for t in texts]
+    words = spam.Words(["bridge the".encode()]).hash
+    assert words.tolist() == [w.hash[2], w.hash[1]]
+
+
+def test_marks_by_form():
+    def marked(text):
+        w = spam.Words([text.encode()])
+        return sorted({text.encode()[a:b].decode() for a, b in spam.marks(w)})
+
+    assert marked("see [the é list](https://x.example/a) and www.y.example/b.") == ["[the é list](https://x.example/a)", "www.y.example/b."]
+    assert marked("- best course: x.example/p\nplain and/or text 1/2") == ["- best course: x.example/p"]
+    assert marked("Desk lamp Pro 86 - SKU 6880 - $79.99 sale\nan item 5 here") == ["Desk lamp Pro 86 - SKU 6880 - $79.99 sale"]
+    assert marked("#one #two x #three") == ["#one #two"]
+    assert marked("<a href='p'>" + "x" * 500 + "</a>") == ["<a href='p'>" + "x" * 500 + "</a>"]
