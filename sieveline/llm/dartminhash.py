@@ -19,27 +19,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.components import connected_components
+from sieveline.llm.pairs import pairs_within
 from sieveline.llm.shingles import GOLDEN, mix, shingle_sets, similar
-from sieveline.plans.runtime import ensure_spread, staged
+from sieveline.plans.runtime import ensure_spread, salted_join, staged
 
-#: Rank layers: [0, 1/64), [1/64, 1/32), ... [1/2, 1), then one unit each.
-_FINE = np.array([0.0, *[2.0**-i for i in range(6, 0, -1)]])
-_WIDE = np.array([2.0**-6, *[2.0**-i for i in range(6, 0, -1)]])
+#: Rank layers: [0, 1), [1, 2), [2, 4), [4, 8), [8, 16), [16, 32), then 32 wide.
+_START = np.array([0.0, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0])
+_WIDTH = np.array([1.0, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0])
 
 
-def _cdf(mean: float, upto: int = 24) -> np.ndarray:
-    p = [np.exp(-mean)]
-    for i in range(1, upto):
-        p.append(p[-1] * mean / i)
-    return np.cumsum(p)
+def _cdf(mean: float) -> np.ndarray:
+    upto = int(mean + 12 * np.sqrt(mean) + 12)
+    i = np.arange(upto)
+    return np.cumsum(np.exp(i * np.log(mean) - mean - np.cumsum(np.log(np.maximum(i, 1)))))
 
 
-_CDFS = [_cdf(w) for w in [*_WIDE, 1.0]]
+_CDFS = [_cdf(w) for w in _WIDTH]
 
 
 def _layers(theta: np.ndarray) -> np.ndarray:
-    """How many layers start below each rank limit."""
-    return np.where(theta >= 1.0, 7 + np.ceil(theta - 1.0), np.searchsorted(_FINE, theta, "left")).astype(np.int64)
+    """How many layers start below each rank limit; from [32, 64) on layers are 32 wide."""
+    return np.where(theta <= 64, 1 + np.ceil(np.log2(np.clip(theta, 1, 64))), 7 + np.ceil((theta - 64) / 32)).astype(np.int64)
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -72,22 +72,24 @@ def signatures(elements: np.ndarray, owners: np.ndarray, weights: np.ndarray, do
         layer = _within(n)
         at = np.repeat(np.arange(len(e)), n)
         region = mix(e[at] + (layer.astype(np.uint64) + np.uint64(1)) * GOLDEN)
-        u, kind = _unit(region), np.minimum(layer, 7)
+        u, kind = _unit(region), np.minimum(layer, 6)
         count = np.zeros(len(at), np.int64)
-        for j, cdf in enumerate(_CDFS):
-            own_kind = kind == j
+        for j in range(int(kind.max(initial=0)) + 1):
+            own_kind, cdf = np.flatnonzero(kind == j), _CDFS[j]
             count[own_kind] = np.searchsorted(cdf, u[own_kind], "right")
         hit = np.flatnonzero(count)
         count = count[hit]
         dart = mix(np.repeat(region[hit], count) + (_within(count).astype(np.uint64) + np.uint64(7)) * GOLDEN)
         at, layer = np.repeat(at[hit], count), np.repeat(layer[hit], count)
-        start = np.where(layer < 7, _FINE[np.minimum(layer, 6)], layer - 6.0)
-        width = np.where(layer < 7, _WIDE[np.minimum(layer, 6)], 1.0)
-        rank = start + width * _unit(mix(dart + np.uint64(1)))
-        height = cell[at] + _unit(mix(dart + np.uint64(2)))
-        keep = (rank < theta[own[at]]) & (height < w[at])
-        dart, rank, document = dart[keep], rank[keep], own[at][keep]
-        coordinate = (mix(dart + np.uint64(3)) % np.uint64(k)).astype(np.int64)
+        kind = np.minimum(layer, 6)
+        start = _START[kind] + 32.0 * (layer - kind)
+        place = mix(dart + np.uint64(1))  # its upper half is the rank, its lower half the coordinate
+        rank = start + _WIDTH[kind] * ((place >> np.uint64(32)).astype(np.float64) * 2.0**-32)
+        keep = rank < theta[own[at]]
+        if (w != np.floor(w)).any():
+            keep &= cell[at] + _unit(mix(dart + np.uint64(2))) < w[at]
+        dart, rank, place, document = dart[keep], rank[keep], place[keep], own[at][keep]
+        coordinate = ((place & np.uint64(0xFFFFFFFF)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
         value = (np.minimum(rank * 2.0**20, 2.0**32 - 1).astype(np.uint64) << np.uint64(32)) | (dart & np.uint64(0xFFFFFFFF))
         np.minimum.at(best.reshape(-1), document * k + coordinate, value)
         todo &= (best == np.iinfo(np.uint64).max).any(axis=1)
@@ -112,8 +114,8 @@ def banded(sets: DataFrame, key: str, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
                 parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
                 elements = np.concatenate(parts)
                 owners = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -130,14 +132,14 @@ class NearDuplicates:
 
     Rows with equal shingle sets are one class of copies; pairs are searched between the classes'
     representatives (smallest key) by banded joins and kept if the exact Jaccard similarity of the
-    sets is at least ``share / of``. With the default 60 bands of 5 rows a pair at similarity 0.70
-    is missed with probability (1 - 0.7^5)^60 < 2e-5, one at 0.8 with less than 1e-10.
+    sets is at least ``share / of``. With the default 42 bands of 4 rows a pair at similarity 0.70
+    is missed with probability (1 - 0.7^4)^42 < 1e-5, one at 0.8 with less than 1e-9.
 
     NULL or empty texts and texts with fewer than ``least`` distinct runs take no part. Repeated
     rows are copies of each other. An empty table gives no rows; other columns are ignored.
     """
 
-    def __init__(self, df: DataFrame, key: str, title: str, content: str, share: int = 8, of: int = 10, size: int = 5, least: int = 10, bands: int = 60, rows: int = 5):
+    def __init__(self, df: DataFrame, key: str, title: str, content: str, share: int = 8, of: int = 10, size: int = 5, least: int = 10, bands: int = 42, rows: int = 4):
         self.key, self.share, self.of = key, share, of
         source = ensure_spread(df.select(key, title, content))
         self.sets = staged(shingle_sets(source, key, title, content, size=size, least=least), "p1-sets").withColumnRenamed(key, "record")
@@ -153,10 +155,8 @@ class NearDuplicates:
 
     def representative_pairs(self) -> DataFrame:
         """(a, b, common): similar representatives, a < b."""
-        left = self.postings.select("band", F.col("record").alias("a"), F.col("n").alias("na"))
-        right = self.postings.select("band", F.col("record").alias("b"), F.col("n").alias("nb"))
-        fits = (F.col("a") < F.col("b")) & (F.col("na") * self.of >= F.col("nb") * self.share) & (F.col("nb") * self.of >= F.col("na") * self.share)
-        found = left.join(right, "band").where(fits).select("a", "b").distinct()
+        fits = (F.col("a_n") * self.of >= F.col("b_n") * self.share) & (F.col("b_n") * self.of >= F.col("a_n") * self.share)
+        found = pairs_within(self.postings, ["band"], "record", ["n"]).where(fits).select("a", "b").distinct()
         sets = self.representatives.select("record", "shingles")
         held = found.join(sets.select(F.col("record").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("record").alias("b"), F.col("shingles").alias("sb")), "b")
         return similar(held, self.share, self.of)
@@ -164,11 +164,13 @@ class NearDuplicates:
     def record_pairs(self) -> DataFrame:
         """(record_a, record_b): every similar pair of different keys, copies expanded."""
         pairs = staged(self.representative_pairs().select("a", "b"), "p1-pairs")
-        of_a = self.members.select(F.col("rep").alias("a"), F.col("record").alias("x"))
-        of_b = self.members.select(F.col("rep").alias("b"), F.col("record").alias("y"))
-        across = pairs.join(of_a, "a").join(of_b, "b").select(F.least("x", "y").alias("record_a"), F.greatest("x", "y").alias("record_b"))
-        copies = of_a.join(self.members.select(F.col("rep").alias("a"), F.col("record").alias("y")), "a").where("x < y").select(F.col("x").alias("record_a"), F.col("y").alias("record_b"))
-        return across.union(copies).distinct()
+        members = self.members.distinct()
+        of_a = members.select(F.col("rep").alias("a"), F.col("record").alias("x"))
+        of_b = members.select(F.col("rep").alias("b"), F.col("record").alias("y"))
+        # the members, of which a class may hold many, are spread; the few pairs of a class are repeated
+        across = salted_join(of_b, salted_join(of_a, pairs, ["a"]).select("x", "b"), ["b"]).select(F.least("x", "y").alias("record_a"), F.greatest("x", "y").alias("record_b"))
+        copies = pairs_within(members, ["rep"], "record").select(F.col("a").alias("record_a"), F.col("b").alias("record_b"))
+        return across.union(copies)
 
     def groups(self) -> DataFrame:
         """(record, class_id, links): one row per key in the source that takes part; class_id is the

@@ -11,45 +11,47 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.functions.hashing import GOLDEN, mix, similar
+
+__all__ = ["GOLDEN", "WORD", "mix", "shingle_sets", "similar", "text_of", "word_hashes", "word_runs"]
+
 WORD = re.compile(r"[a-z0-9]+")
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """The splitmix64 finaliser, element by element."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-class Shingler:
-    """Text to the sorted distinct hashes of its runs of ``size`` consecutive words."""
-
-    def __init__(self, size: int, memory: int = 200_000):
-        self.size, self.memory, self.words = size, memory, {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words, known = WORD.findall(text.lower()), self.words
-        if len(words) < self.size:
-            return np.empty(0, np.uint64)
-        if len(known) > self.memory:
-            known.clear()
-        ids = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            ids.append(h)
-        a = np.array(ids, np.uint64)
-        n = len(a) - self.size + 1
-        h = np.zeros(n, np.uint64)
-        for k in range(self.size):
-            h = mix(h * GOLDEN + a[k : k + n])
-        return np.unique(h)
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_KIND = np.zeros(256, bool)
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def word_hashes(word: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, hash) of the longest runs of bytes with ``word`` set; the last byte must not be one."""
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if len(word) and word[0]:
+        edge = np.r_[0, edge]
+    start, stop = edge[::2], edge[1::2]
+    size = stop - start
+    if not len(size):
+        return start, stop, np.empty(0, np.uint64)
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    power = np.multiply.accumulate(np.full(int(size.max()), _STEP, np.uint64))
+    return start, stop, mix(np.add.reduceat(_VALUE[low[word]] * power[place], first))
+
+
+def word_runs(texts: list[str], size: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of the runs of ``size`` consecutive words of each text, all texts at once."""
+    # of all characters only these two have lower cases with an ASCII letter and no ASCII letter themselves
+    held = [(t.lower() if "\u0130" in t or "\u212a" in t else t).encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join([*held, b""]), np.uint8)
+    start, _, h = word_hashes(_KIND[data], _LOWER[data])
+    ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1)
+    edges = np.searchsorted(start, np.r_[0, ends])
+    n = max(len(h) - size + 1, 0)
+    g = np.zeros(n, np.uint64)
+    for k in range(size):
+        g = mix(g * GOLDEN + h[k : k + n])
+    return [np.unique(g[a : max(a, b - size + 1)]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
 def text_of(title: str | None, content: str | None) -> str:
@@ -68,14 +70,14 @@ def shingle_sets(df: DataFrame, key: str, title: str, content: str, keep: list[s
     schema = ", ".join([f"`{key}` {kinds[key]}", *[f"`{c}` {kinds[c]}" for c in keep], "n int", "h1 bigint", "h2 bigint", "shingles binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
         for batch in batches:
             rows, sets = [], []
-            for i, (t, c) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                s = shingler(text_of(t, c))
-                if len(s) >= least:
-                    rows.append(i)
-                    sets.append(s.tobytes())
+            texts = [text_of(t, c) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            for at in range(0, len(texts), 256):
+                for i, s in enumerate(word_runs(texts[at : at + 256], size), at):
+                    if len(s) >= least:
+                        rows.append(i)
+                        sets.append(s.tobytes())
             picked = batch.take(pa.array(rows, pa.int32()))
             digests = [xxhash.xxh128_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -91,25 +93,3 @@ def shingle_sets(df: DataFrame, key: str, title: str, content: str, keep: list[s
             )
 
     return source.mapInArrow(run, schema)
-
-
-def similar(pairs: DataFrame, share: int, of: int) -> DataFrame:
-    """Keep the rows of ``pairs`` (… sa binary, sb binary …) whose sets have a Jaccard similarity
-    of at least ``share / of``, compared in whole numbers; adds ``common``."""
-    names = [c for c in pairs.columns if c not in ("sa", "sb")]
-    schema = ", ".join([*[f"`{c}` {dict(pairs.dtypes)[c]}" for c in names], "common int"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, common = [], []
-            left, right = batch.column("sa"), batch.column("sb")
-            for i in range(batch.num_rows):
-                a, b = np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if of * both >= share * (len(a) + len(b) - both):
-                    rows.append(i)
-                    common.append(both)
-            picked = batch.select(names).take(pa.array(rows, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(common, pa.int32())], names=[*names, "common"])
-
-    return pairs.select(*names, "sa", "sb").mapInArrow(run, schema)

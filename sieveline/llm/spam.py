@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.hashing import GOLDEN, mix
+from sieveline.llm.shingles import word_hashes
 from sieveline.plans.runtime import ensure_spread, salted_join, staged
 
 #: Lengths in words of the runs whose recurrence is counted.
@@ -48,8 +48,6 @@ _KIND = np.zeros(256, bool)
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
-_STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0, 9, 10, 11, 12, 13, 32]] = True
 _DIGIT = np.zeros(256, bool)
@@ -90,16 +88,7 @@ class Words:
             for m in CODE.finditer(joined):
                 if b"\0" not in m.group():
                     word[m.start() : m.end()] = False
-        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-        if word[0]:
-            edge = np.r_[0, edge]
-        self.start, self.stop = edge[::2], edge[1::2]  # the last byte is no word byte
-        size = self.stop - self.start
-        first = np.cumsum(size) - size
-        at = np.flatnonzero(word)
-        place = np.arange(len(at)) - np.repeat(first, size)
-        power = np.multiply.accumulate(np.full(int(size.max(initial=1)), _STEP, np.uint64))
-        self.hash = mix(np.add.reduceat(_VALUE[low[at]] * power[place], first)) if len(at) else np.empty(0, np.uint64)
+        self.start, self.stop, self.hash = word_hashes(word, low)
         self.text = np.searchsorted(self.ends, self.start)
         # bytes that begin a character, summed: places in characters
         self.chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
