@@ -1,19 +1,21 @@
 """Problem 6: deduplicating new batches against all history.
 
-The history is an inverted index on the shared file system: postings (token, record, set size) of
-the rare-token prefix of every accepted record, in folders by token part, and the accepted sets in
-folders by record part. A batch joins the postings of its own prefixes with the index, drops pairs
-whose sizes cannot reach the similarity, reads the sets of the surviving candidates only and
-verifies their overlap exactly. Accepted records append their postings; no text of the history is
-read again and no earlier file is rewritten.
-
-Tokens are ordered from rare to frequent by a frequency sketch of fixed size, frozen with the first
-batch: any fixed order is correct, a good one keeps posting lists short. A record of ``n`` tokens
-shares at least one of its ``n - ceil(t n) + 1`` rarest with every record of Jaccard similarity ``t``.
+The history is an inverted index on the shared file system: postings (token, record, batch, set size, place) of the
+rare-token prefix of every record, as a table bucketed by token, and the sets themselves in small files, one for about
+4,096 records each. A batch writes its own postings once, into the buckets; bucket meets bucket, so a probe shuffles
+neither the history nor the batch. Pairs whose sizes cannot reach the similarity, or that share too few of their rarest
+tokens, are dropped, the files with the sets of the surviving candidates are read (no others) and their overlap is
+verified exactly. No text of the history is read again and no earlier file is rewritten; postings of a rejected record
+stay and are passed over.
+
+Tokens are ordered from rare to frequent by a frequency sketch of fixed size, frozen with the first batch: any fixed
+order is correct, a good one keeps posting lists short. Of two records with a Jaccard similarity of ``t`` the
+``n - least + COMMON`` rarest tokens have COMMON in common, ``least`` being the tokens they must share.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +27,9 @@ from sieveline.llm.shingles import mix, shingle_sets, similar
 from sieveline.plans.runtime import ensure_spread, stage_path, staged
 
 SKETCH = 1 << 18
-PARTS = 8
 COMMON = 6
+#: Records whose sets share a file.
+FILE_RECORDS = 4096
 
 
 def _slots(tokens: np.ndarray) -> np.ndarray:
@@ -51,35 +54,32 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, sketch: np.ndarray, share: int, of: int) -> DataFrame:
-    """(record, batch, n, place, token) for the rarest tokens of every set, as many as a similar set of any
-    size needs."""
+    """(token, record, batch, home, n, place) for the rarest tokens of every set, as many as a similar set of any size
+    needs."""
     held = sets.sparkSession.sparkContext.broadcast(sketch)
+    names = ["token", "record", "batch", "home", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = held.value
         for batch in batches:
-            records, sizes, places, tokens = [], [], [], []
-            for i, x in enumerate(batch.column("shingles")):
-                s = np.frombuffer(x.as_buffer(), np.uint64)
-                least = -(-share * len(s) // of)
-                chosen = s[np.lexsort((s, counts[_slots(s)]))[: len(s) - least + COMMON]]
-                tokens.append(chosen)
-                records.append(np.full(len(chosen), i))
-                sizes.append(np.full(len(chosen), len(s), np.int32))
-                places.append(np.arange(len(chosen), dtype=np.int32))
-            if tokens:
-                at = pa.array(np.concatenate(records).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("record").take(at), batch.column("batch").take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places)), pa.array(np.concatenate(tokens).view(np.int64))], names=["record", "batch", "n", "place", "token"])
-
-    return sets.select("record", "batch", "shingles").mapInArrow(run, "record bigint, batch string, n int, place int, token bigint")
-
-
-def _part(column: str) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(PARTS)).cast("int")
+            parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+            if not parts:
+                continue
+            sizes = np.array([len(p) for p in parts])
+            flat, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
+            order = np.lexsort((flat, counts[_slots(flat)], owner))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = sizes + share * sizes // -of + COMMON  # n - ceil(share n / of) + COMMON
+            chosen = np.flatnonzero(place < kept[owner])
+            at = pa.array(owner[chosen].astype(np.int32))
+            cells = [pa.array(flat[order[chosen]].view(np.int64)), *[batch.column(c).take(at) for c in names[1:5]], pa.array(place[chosen].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cells, names=names)
+
+    return sets.select("record", "batch", "home", "n", "shingles").mapInArrow(run, "token bigint, record bigint, batch int, home int, n int, place int")
 
 
 class HistoryIndex:
-    """Accepted records of all earlier batches; ``accept`` decides what newly arrived and appends it.
+    """Records of all earlier batches; ``accept`` decides what newly arrived and appends it.
 
     An arrival is one batch or several waiting ones; its rows count in order of (batch, record), so the
     result does not depend on how batches are taken together.
@@ -88,57 +88,71 @@ class HistoryIndex:
     def __init__(self, spark: SparkSession, path: str, share: int, of: int):
         self.spark, self.path, self.share, self.of = spark, path, share, of
         self.sketch: np.ndarray | None = None
-        self.empty = True
-
-    def _meet(self, joined: DataFrame) -> DataFrame:
-        """(a, b): pairs that share enough of their rarest tokens; of (a, na, pa, b, nb, pb) rows by token."""
+        self.homes, self.spans, self.held = 0, [], 0
+        self.table = f"postings_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _meet(self, first: int, join: str) -> DataFrame:
+        """(a, b, home): pairs of an earlier record and one of the batches from ``first`` on that share enough of
+        their rarest tokens; both sides are read from the same buckets."""
+        held = self.spark.table(self.table)
+        old = held.select("token", F.col("record").alias("a"), F.col("batch").alias("ba"), "home", F.col("n").alias("na"), F.col("place").alias("pa"))
+        new = held.where(F.col("batch") >= first).select("token", F.col("record").alias("b"), F.col("batch").alias("bb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+        before = (F.col("ba") < F.col("bb")) | ((F.col("ba") == F.col("bb")) & (F.col("a") < F.col("b")))
         sizes = (F.col("na") * self.of >= F.col("nb") * self.share) & (F.col("nb") * self.of >= F.col("na") * self.share)
         least = F.ceil(F.lit(self.share) * (F.col("na") + F.col("nb")) / F.lit(self.of + self.share)).cast("int")
-        near = joined.where(sizes & (F.col("pa") < F.col("na") - least + COMMON) & (F.col("pb") < F.col("nb") - least + COMMON))
-        return near.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= COMMON).select("a", "b")
+        near = old.join(new.hint(join), "token").where(before & sizes & (F.col("pa") < F.col("na") - least + COMMON) & (F.col("pb") < F.col("nb") - least + COMMON))
+        return near.groupBy("a", "b", "home").agg(F.count("*").alias("shared")).where(F.col("shared") >= COMMON).select("a", "b", "home")
+
+    def _sets(self, homes: list[int]) -> DataFrame:
+        kind = "record bigint, batch int, n int, shingles binary"
+        if not homes:
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).parquet(*[f"{self.path}/sets/lot={lot}/home={h}" for h in homes for lot in [self._lot(h)]])
+
+    def _lot(self, home: int) -> int:
+        return next(i for i, (first, end) in enumerate(self.spans) if first <= home < end)
 
-    def accept(self, sets: DataFrame) -> DataFrame:
-        """Rejected records of ``sets`` (batch, record, n, h1, h2, shingles): those similar to an
-        accepted one of the history or to one accepted before in this arrival."""
+    def accept(self, sets: DataFrame, first: int) -> DataFrame:
+        """Rejected records of ``sets`` (record, batch, n, h1, h2, shingles), whose batches are numbered from ``first``
+        on: those similar to an accepted one of the history or to one accepted before in this arrival."""
         if self.sketch is None:
             self.sketch = frequency_sketch(sets)
-        first = sets.groupBy("h1", "h2").agg(F.min(F.struct("batch", "record")).alias("at")).select("at.record")
-        firsts = staged(sets.join(first, "record", "left_semi").select("record", "n", "shingles", "batch", _part("record").alias("part")), "p6-firsts")
-        copies = sets.select("record").join(firsts.select("record"), "record", "left_anti")
-        mine = staged(prefixes(firsts, self.sketch, self.share, self.of), "p6-prefixes")
-        earlier = mine.select("token", F.col("batch").alias("ba"), F.col("record").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
-        later = mine.select("token", F.col("batch").alias("bb"), F.col("record").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
-        pairs = self._meet(earlier.join(later, "token").where((F.col("ba") < F.col("bb")) | ((F.col("ba") == F.col("bb")) & (F.col("a") < F.col("b")))))
-        held = pairs.join(firsts.select(F.col("record").alias("a"), F.col("shingles").alias("sa")), "a").join(firsts.select(F.col("record").alias("b"), F.col("shingles").alias("sb")), "b")
-        links = staged(similar(held, self.share, self.of).select("a", "b"), "p6-links")
-        rejected = self._resolve(links, self._repeated(mine, firsts))
-        self._append(firsts.join(rejected, "record", "left_anti"), "sets", "record")
-        self._append(mine.join(rejected, "record", "left_anti").select("record", "n", "place", "token", _part("token").alias("part")), "postings", "token")
-        self.empty = False
+        heads = sets.groupBy("h1", "h2").agg(F.min(F.struct("batch", "record")).alias("at")).select("at.record")
+        heads = staged(heads, "p6-heads")
+        arrived = heads.count()
+        slots = max(1, -(-arrived // FILE_RECORDS))
+        base, lot = self.homes, len(self.spans)
+        self.homes += slots
+        self.spans.append((base, base + slots))
+        home = (F.lit(base) + F.pmod(F.xxhash64("record"), F.lit(slots))).cast("int")
+        firsts = sets.join(heads, "record", "left_semi").select("record", "batch", "n", "shingles", home.alias("home"))
+        where = f"{self.path}/sets/lot={lot}"
+        firsts.repartition(slots, "home").write.option("compression", "zstd").partitionBy("home").parquet(where)
+        stored = self.spark.read.schema("record bigint, batch int, n int, shingles binary, home int").parquet(where)
+        mine = prefixes(stored, self.sketch, self.share, self.of)
+        writer = mine.repartition(self.buckets, "token").write.option("compression", "zstd").option("path", f"{self.path}/postings")
+        writer.bucketBy(self.buckets, "token").sortBy("token").mode("append").saveAsTable(self.table)
+        # a small arrival is hashed bucket by bucket and the history streams past it; a large one is merged
+        pairs = self._meet(first, "shuffle_hash" if 4 * arrived <= self.held else "merge")
+        self.held += arrived
+        if lot:
+            gone = self.spark.read.schema("record bigint").parquet(f"{self.path}/rejected")
+            pairs = pairs.join(gone.select(F.col("record").alias("a")), "a", "left_anti")
+        pairs = staged(pairs, "p6-candidates")
+        touched = [r[0] for r in pairs.select("home").distinct().collect()]  # at most one number for each file of sets
+        ours = self._sets(list(range(base, base + slots))).select(F.col("record").alias("b"), F.col("shingles").alias("sb"))
+        theirs = self._sets(touched).select(F.col("record").alias("a"), F.col("shingles").alias("sa"))
+        found = staged(similar(pairs.join(theirs, "a").join(ours, "b").select("a", "b", "home", "sa", "sb"), self.share, self.of).select("a", "b", "home"), "p6-links")
+        old = found.where(F.col("home") < base).select(F.col("b").alias("record")).distinct()
+        rejected = self._resolve(found.where(F.col("home") >= base).select("a", "b"), old)
+        rejected.write.mode("append").parquet(f"{self.path}/rejected")
+        copies = sets.select("record").join(heads, "record", "left_anti")
         return rejected.union(copies)
 
-    def _append(self, df: DataFrame, name: str, order: str) -> None:
-        df.repartition(PARTS, "part").sortWithinPartitions("part", order).write.mode("append").partitionBy("part").parquet(f"{self.path}/{name}")
-
-    def _postings(self) -> DataFrame:
-        return self.spark.read.schema("record bigint, n int, place int, token bigint, part int").parquet(f"{self.path}/postings")
-
-    def _sets(self) -> DataFrame:
-        return self.spark.read.schema("record bigint, n int, shingles binary, batch string, part int").parquet(f"{self.path}/sets")
-
-    def _repeated(self, mine: DataFrame, firsts: DataFrame) -> DataFrame:
-        """Records of the arrival that are similar to an accepted one of the history."""
-        if self.empty:
-            return self.spark.createDataFrame([], "record bigint")
-        old = self._postings().select("part", "token", F.col("record").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
-        new = mine.select(_part("token").alias("part"), "token", F.col("record").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
-        probed = self._meet(old.join(new, ["part", "token"]))
-        held = (
-            probed.withColumn("part", _part("a"))
-            .join(self._sets().select("part", F.col("record").alias("a"), F.col("shingles").alias("sa")), ["part", "a"])
-            .join(firsts.select(F.col("record").alias("b"), F.col("shingles").alias("sb")), "b")
-        )
-        return similar(held.select("a", "b", "sa", "sb"), self.share, self.of).select(F.col("b").alias("record")).distinct()
+    def close(self) -> None:
+        """Forget the table's name; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
     def _resolve(self, links: DataFrame, gone: DataFrame) -> DataFrame:
         """Walk the batch in order of record without a loop over records: a record without an open
@@ -182,8 +196,16 @@ def reject_repeats(df: DataFrame, key: str, batch: str, title: str, content: str
         raise ValueError("sets that small share too few tokens")
     source = ensure_spread(df.select(key, batch, title, content)).withColumn(batch, F.concat(F.lit("b"), F.coalesce(F.col(batch), F.lit(""))))
     sets = staged(shingle_sets(source, key, title, content, keep=[batch], size=size, least=least).withColumnsRenamed({key: "record", batch: "batch"}), "p6-sets")
-    index = HistoryIndex(spark, stage_path(spark, "p6-index"), share, of)
-    out = spark.createDataFrame([], "record bigint")
-    for arrival in arrivals([(r[0], r[1]) for r in sets.groupBy("batch").count().collect()]):  # one short row for each batch
-        out = out.union(index.accept(sets.where(F.col("batch").isin(arrival))))
+    sizes = sorted((r[0], r[1]) for r in sets.groupBy("batch").count().collect())  # one short row for each batch
+    if not sizes:
+        return df.select(key).limit(0)
+    numbers = spark.createDataFrame([(name, i) for i, (name, _) in enumerate(sizes)], "batch string, no int")
+    sets = sets.join(F.broadcast(numbers), "batch").drop("batch").withColumnRenamed("no", "batch")
+    index, out, first = HistoryIndex(spark, stage_path(spark, "p6-index"), share, of), None, 0
+    for arrival in arrivals(sizes):
+        end = first + len(arrival)
+        gone = index.accept(sets.where(F.col("batch").between(first, end - 1)), first)
+        out, first = gone if out is None else out.union(gone), end
+    out = staged(out, "p6-out")
+    index.close()
     return out.withColumnRenamed("record", key).withColumn(key, F.col(key).cast(dict(df.dtypes)[key]))
