@@ -204,10 +204,16 @@ def nearest_vectors(
     empty = spark.createDataFrame([], f"`{query_key}` {kinds[0]}, `{entry_key}` {kinds[1]}, cosine double")
     if not total:
         return empty
-    sample = entry_vectors.where(F.pmod("h1", F.lit(max(1, total // sample_rows))) == 0).select("v").toArrow()  # h1 is a hash: an even sample
+    # h1 is a hash: an even sample
+    sample = entry_vectors.where(F.pmod("h1", F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_rows / total))).select("v").toArrow()
+    if not sample.num_rows:  # chance may leave a handful of entries out
+        sample = entry_vectors.select("v").limit(1).toArrow()
     quantiser = Quantiser(unit(unpacked(sample.column(0), width)), int(np.clip(centroids * np.sqrt(total), 16, 1024)))
 
+    centres = spark.sparkContext.broadcast(quantiser)
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quantiser = centres.value
         for batch in batches:
             m = unpacked(batch.column("v"), width)
             cell = quantiser.cells(unit(m)) if len(m) else np.empty(0, np.int64)
@@ -222,7 +228,10 @@ def nearest_vectors(
         sizes[region] = sizes.get(region, 0) + counts[cell]
     blocks = {r: -(-n // block) for r, n in sizes.items()}
 
+    arranged = spark.sparkContext.broadcast(quantiser)  # one count and one region for each occupied cell
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quantiser = arranged.value
         for batch in batches:
             v = unpacked(batch.column("v"), width)
             rows, regions, cells = [], [], []
@@ -240,7 +249,7 @@ def nearest_vectors(
     # the routes are staged without the vectors, which join them only on their way to the regions
     sent = staged(query_vectors.mapInArrow(send, "h1 bigint, h2 bigint, region int, cells array<int>"), "p3-sent")
     asked = {r["region"]: r["count"] for r in sent.groupBy("region").count().collect()}  # one small row for each region
-    query_blocks = {r: -(-n // (4 * block)) for r, n in asked.items()}
+    query_blocks = {r: -(-n // (2 * block)) for r, n in asked.items()}
     # the layout of blocks is one small row for each region
     layout = spark.createDataFrame([(r, blocks[r], query_blocks.get(r, 1)) for r in blocks], "region int, entry_blocks int, query_blocks int")
     of_cell = spark.createDataFrame(list(quantiser.region.items()), "cell int, region int")
@@ -310,7 +319,12 @@ def nearest_vectors(
         i, j, cosine = i[fine], j[fine], cosine[fine]
         return pa.table({"h1": right.column("h1").take(pa.array(i)), "h2": right.column("h2").take(pa.array(i)), "ids": left.column("ids").take(pa.array(j)), "cosine": pa.array(cosine)})
 
-    found = entry_side.groupBy("region", "eb", "qb").cogroup(query_side.groupBy("region", "eb", "qb")).applyInArrow(rerank, f"h1 bigint, h2 bigint, ids array<{kinds[1]}>, cosine double")
+    # a block of entries and a block of queries meet in a group of bounded size; with several partitions for each group
+    # few groups share a task, however many there are
+    groups = sum(blocks[r] * query_blocks.get(r, 1) for r in blocks)
+    tasks = min(max(8 * groups, int(spark.conf.get("spark.sql.shuffle.partitions"))), 20_000)
+    keys = ["region", "eb", "qb"]
+    found = entry_side.repartition(tasks, *keys).groupBy(*keys).cogroup(query_side.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(rerank, f"h1 bigint, h2 bigint, ids array<{kinds[1]}>, cosine double")
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("cosine"), entry_key)
     top = found.select("h1", "h2", F.explode("ids").alias(entry_key), "cosine").withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
     answers = top.groupBy("h1", "h2").agg(F.collect_list(F.struct(entry_key, "cosine")).alias("hits"))
