@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +23,17 @@ LINE = re.compile(r"[^\r\n]+")
 WORD = re.compile(r"\S+")
 #: Penalties of a cut after a word, by what ends there.
 PARAGRAPH, SENTENCE, CLAUSE, BARE = 0.0, 1.0, 6.0, 20.0
-_SENTENCE_END = re.compile(r"[.!?…。।؟]['\"”’)\]]*$")
-_CLAUSE_END = re.compile(r"[,;:]['\"”’)\]]*$")
+_SENTENCE_END, _CLAUSE_END, _CLOSING = frozenset(".!?…。।؟"), frozenset(",;:"), frozenset("'\"”’)]")
 
 # --- headings of interview rounds ---------------------------------------------------------------------
-_DECOR = re.compile(r"^(?:\s|[#*=_>~•·▶►➡→️-]|<(?:b|strong|h\d|u|i|em)>|\d{1,2}[.)](?=\s)|\(\d{1,2}\)\s)+|(?:\s|[#*=_~]|</(?:b|strong|h\d|u|i|em)>)+$", re.IGNORECASE)
+_LEAD = re.compile(r"(?:\s|[#*=_>~•·▶►➡→️-]|<(?:b|strong|h\d|u|i|em)>|\d{1,2}[.)](?=\s)|\(\d{1,2}\)\s)+", re.IGNORECASE)
+_TAIL = re.compile(r"</(?:b|strong|h\d|u|i|em)>\Z", re.IGNORECASE)
 _ORDINAL = r"(?:first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth|final|last|next|opening|closing|\d{1,2}(?:st|nd|rd|th))"
 _NUMBER = r"(?:\d{1,2}|[ivx]{1,4}|one|two|three|four|five|six|seven|eight|nine|ten)"
 _KIND = r"(?:round|rnd|interview|onsite|on-site|video call|phone call|call|f2f|face to face|face-to-face|tech screen|technical screen|phone screen|screen|screening|stage|loop|session)"
 _PLAIN_WORD = r"(?!(?:a|an|the|of|on|in|after|before|my|our|and|or|for|to|with|about|each|every|this|that|few|number|no|how|what|i|we|was|is|next|per)\b)[^\W\d_][\w&+/'’-]*"
 _TOPIC = rf"{_PLAIN_WORD}(?: (?:and |of |& )?{_PLAIN_WORD}){{0,3}}"
-_DETAIL = rf"(?:\s*(?:[:–—|]|//|-)\s*{_TOPIC}|\s*[:–—-]?\s*\([^()]{{1,50}}\)|\s*\[[^\[\]]{{1,40}}\])"
+_DETAIL = rf"(?:\s*(?:[:–—|]|//|-)\s*{_TOPIC}|\s*[:–—-]?\s*\([^()]+\)|\s*\[[^\[\]]+\])"
 _HEADING = re.compile(
     rf"(?:"
     rf"(?:{_KIND}|r)[ -]?#?\s?{_NUMBER}(?:\s?(?:/|of)\s?\d{{1,2}})?{_DETAIL}{{0,2}}"
@@ -44,13 +45,23 @@ _HEADING = re.compile(
 _DECORATED = re.compile(rf"{_TOPIC} (?:interview|screen|stage)(?: #?{_NUMBER})?{_DETAIL}{{0,2}}\s*:?", re.IGNORECASE)
 
 
+def _undecorated(line: str) -> str:
+    """The line without the marks around it."""
+    while True:
+        lead = _LEAD.match(line)
+        bare = (line[lead.end() :] if lead else line).rstrip("#*=_~ \t\r\f\v\u00a0")
+        if bare.endswith(">") and (tag := _TAIL.search(bare, max(0, len(bare) - 9))):
+            bare = bare[: tag.start()]
+        if bare == line:
+            return line.strip()
+        line = bare
+
+
 def is_round_heading(line: str) -> bool:
     """Does the trimmed ``line`` stand alone as the heading of the account of one interview round?"""
-    if not line or len(line) > 90:
+    if not line:
         return False
-    core = line
-    while (bare := _DECOR.sub("", core)) != core:
-        core = bare
+    core = _undecorated(line)
     if not core:
         return False
     return bool(_HEADING.fullmatch(core) or (core.rstrip(":") != line.rstrip(":") and _DECORATED.fullmatch(core)))
@@ -71,15 +82,25 @@ def headings(text: str) -> list[tuple[int, int, str]]:
 def _penalties(text: str, words: list[tuple[int, int]]) -> list[float]:
     """The penalty of a cut after each word."""
     out = []
-    for i, (start, end) in enumerate(words):
-        gap = text[end : words[i + 1][0]] if i + 1 < len(words) else "\n\n"
-        word = text[start:end]
-        if gap.count("\n") + gap.count("\r") - gap.count("\r\n") >= 2:
+    for (_, end), (start, _) in zip(words, [*words[1:], (None, 0)], strict=True):
+        if start is None:
             out.append(PARAGRAPH)
-        elif _SENTENCE_END.search(word) or "\n" in gap or "\r" in gap:
-            out.append(SENTENCE)
+            break
+        gap = text[end:start]
+        if gap == " ":
+            if text[end - 1].isalnum():
+                out.append(BARE)
+                continue
+            breaks = 0
         else:
-            out.append(CLAUSE if _CLAUSE_END.search(word) else BARE)
+            breaks = gap.count("\n") + gap.count("\r") - gap.count("\r\n")
+        if breaks >= 2:
+            out.append(PARAGRAPH)
+            continue
+        at = end - 1
+        while at and text[at] in _CLOSING:
+            at -= 1
+        out.append(SENTENCE if breaks or text[at] in _SENTENCE_END else CLAUSE if text[at] in _CLAUSE_END else BARE)
     return out
 
 
@@ -99,29 +120,35 @@ def cut(penalties: list[float], limit: int, overlap: int) -> list[tuple[int, int
         last = p
     pieces = -(-(n - overlap) // (limit - overlap))
     target = (n + (pieces - 1) * overlap) / pieces
-    best, back = [float("inf")] * len(stops), [0] * len(stops)
-    best[0] = 0.0
+    # a piece from stop i to stop j has stops[j] - begins[i] words
     carried = [repeated(penalties, p, overlap) if p else 0 for p in stops]
-    low = 0
+    at, begins = np.array(stops), np.array(stops) - np.array(carried)
+    best, back = np.full(len(stops), np.inf), np.zeros(len(stops), np.int64)
+    best[0] = 0.0
+    lows = np.searchsorted(at, at - limit)
     for j in range(1, len(stops)):
-        end = stops[j]
-        price = penalties[end - 1] if end < n else 0.0
-        while end - stops[low] > limit:
-            low += 1
-        for i in range(low, j):
-            size = end - stops[i] + carried[i]
-            if size > limit or best[i] == float("inf"):
-                continue
-            cost = best[i] + price + 8.0 * ((size - target) / limit) ** 2 + 2.0
-            if cost < best[j]:
-                best[j], back[j] = cost, i
+        low = lows[j]
+        size = at[j] - begins[low:j]
+        cost = np.where(size <= limit, best[low:j] + 8.0 * ((size - target) / limit) ** 2, np.inf)
+        i = int(np.argmin(cost))
+        best[j] = cost[i] + (penalties[stops[j] - 1] if stops[j] < n else 0.0) + 2.0
+        back[j] = low + i
     out, j = [], len(stops) - 1
     while j:
         out.append((stops[back[j]], stops[j]))
-        j = back[j]
+        j = int(back[j])
     return out[::-1]
 
 
+def cost_of(penalties: list[float], pieces: list[tuple[int, int]], limit: int, overlap: int) -> float:
+    """What ``cut`` minimises, of any pieces: the penalties of their cuts, their imbalance and their number."""
+    n = len(penalties)
+    wanted = -(-(n - overlap) // (limit - overlap))
+    target = (n + (wanted - 1) * overlap) / wanted
+    sizes = [b - a + (repeated(penalties, a, overlap) if a else 0) for a, b in pieces]
+    return sum(penalties[b - 1] if b < n else 0.0 for _, b in pieces) + sum(8.0 * ((s - target) / limit) ** 2 + 2.0 for s in sizes)
+
+
 def repeated(penalties: list[float], at: int, overlap: int) -> int:
     """How many words before ``at`` the next piece repeats: whole sentences of at most ``overlap`` words,
     or just that many words where no sentence starts among them."""

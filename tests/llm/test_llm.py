@@ -244,3 +244,31 @@ def test_marks_by_form():
     assert marked("Desk lamp Pro 86 - SKU 6880 - $79.99 sale\nan item 5 here") == ["Desk lamp Pro 86 - SKU 6880 - $79.99 sale"]
     assert marked("#one #two x #three") == ["#one #two"]
     assert marked("<a href='p'>" + "x" * 500 + "</a>") == ["<a href='p'>" + "x" * 500 + "</a>"]
+
+
+def greedy_cut(penalties, limit, overlap):
+    """The longest piece that fits and ends at the best boundary within its second half."""
+    out, a, n = [], 0, len(penalties)
+    while a < n:
+        again = splitting.repeated(penalties, a, overlap) if a else 0
+        most = min(n, a + limit - again)
+        b = most if most == n else min(range(a + (most - a) // 2 + 1, most + 1), key=lambda i: (penalties[i - 1], -i))
+        out.append((a, b))
+        a = b
+    return out
+
+
+def test_cuts_cost_less_than_greedy_ones():
+    r = random.Random(9)
+    for _ in range(60):
+        n, gain = r.randint(501, 4000), r.choice([0.02, 0.06, 0.2])
+        penalties = [r.choice([splitting.PARAGRAPH, splitting.SENTENCE, splitting.SENTENCE]) if r.random() < gain else r.choice([splitting.CLAUSE, splitting.BARE, splitting.BARE]) for _ in range(n)]
+        pieces = splitting.cut(penalties, 500, 50)
+        assert pieces[0][0] == 0 and pieces[-1][1] == n and all(x[1] == y[0] for x, y in zip(pieces, pieces[1:], strict=False))
+        assert all(b - a + (splitting.repeated(penalties, a, 50) if a else 0) <= 500 for a, b in pieces)
+        assert splitting.cost_of(penalties, pieces, 500, 50) <= splitting.cost_of(penalties, greedy_cut(penalties, 500, 50), 500, 50) + 1e-9
+
+
+def test_long_headings():
+    long = "Round 1 - coding (" + "graphs and trees, " * 20 + "strings)"
+    assert splitting.is_round_heading(f"**{long}**") and not splitting.is_round_heading("The first round was " + "hard and " * 40 + "long.")
