@@ -10,6 +10,7 @@ get equal pseudonyms in every document while separators and lengths stay.
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -37,6 +38,14 @@ EMAIL = re.compile(
     re.IGNORECASE,
 )
 
+_SPELT = re.compile(r"[\[(]\s?at\s?[\])]|\sdot\s", re.IGNORECASE)
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    if "@" in text or "＠" in text or _SPELT.search(text):
+        yield from (m.span() for m in EMAIL.finditer(text))
+
+
 # --- identity numbers ---------------------------------------------------------------------------------
 _FREE = r"(?<![\w₹$€£.,/#-])(?<!\d[ .])"
 _END = r"(?![\w%]|[-./,]\d|[ ]\d{4}\b)"
@@ -81,23 +90,44 @@ _TOWN = rf"(?:{_W}{_SECOND})"
 _WAY = r"(?:Road|Rd\.?|Street|St\.?|Lane|Ln\.?|Close|Avenue|Ave\.?|Drive|Dr\.?|Court|Ct\.?|Way|Place|Square|Boulevard|Blvd\.?|Terrace|Crescent|Gardens|Row|Highway|Walk)"
 _UNIT = r"(?:, (?:Unit|Suite|Apt\.?|Apartment|Floor|Flat|Room|#) ?[\w-]+)"
 _CODE = r"(?:[A-Z]{1,2}\d{1,2}[A-Z]? \d[A-Z]{2}|[A-Z]{2} \d{5}|\d{3} \d{3}|\d{5,6}|\d{4} [A-Z]{2})"
-ADDRESS = re.compile(
-    r"(?<![\w/])(?:"
-    rf"H\. ?No\.? ?\d+(?:/\d+)?[A-Za-z]?, Sector \d+, {_TOWN}(?: ?[-–] ?\d{{6}})?"
-    rf"|\d+/\d+, Sector \d+, {_TOWN}(?: ?[-–] ?\d{{6}})?"
-    rf"|Flat (?:No\.? ?)?\w+, [^\n,;]{{2,30}}, (?:[^\n,;]{{2,25}}, ){{0,3}}{_TOWN} (?:\d{{3}} ?\d{{3}})"
-    rf"|P\. ?O\. ?Box \d+, {_TOWN}(?:,? {_CODE})?"
-    rf"|{_W}(?:weg|straße|strasse|gasse|allee|platz|ring|damm|ufer) \d+[a-z]?, \d{{4,5}} {_TOWN}"
-    rf"|\d+(?: ?(?:bis|ter))?,? (?:rue|avenue|boulevard|place|impasse|allée|chemin|quai|calle|via)(?: (?:de|du|des|la|le|del))* {_W}(?:[ -]{_W})?, \d{{5}} {_TOWN}"
-    rf"|(?:calle|avenida|plaza|paseo) {_W}(?: {_W}){{0,2}},? \d+,(?: \d{{5}})? {_TOWN}"
-    rf"|{_CODE} {_TOWN}, {_W}(?: {_W}){{0,2}} {_WAY} \d+[a-z]?"
-    rf"|\d+[a-z]? (?:St\. )?{_W}(?: {_W}){{0,2}} {_WAY}{_UNIT}?, {_TOWN}(?:,? {_CODE})?"
-    r")(?!\w)",
-    re.IGNORECASE,
-)
+
+
+def _address(pattern: str) -> re.Pattern:
+    return re.compile(rf"(?<![\w/])(?:{pattern})(?!\w)", re.IGNORECASE)
+
+
+#: (what a text must hold in lower case for the form to be sought, form).
+ADDRESSES = [
+    (("sector",), _address(rf"H\. ?No\.? ?\d+(?:/\d+)?[A-Za-z]?, Sector \d+, {_TOWN}(?: ?[-–] ?\d{{6}})?|\d+/\d+, Sector \d+, {_TOWN}(?: ?[-–] ?\d{{6}})?")),
+    (("flat ",), _address(rf"Flat (?:No\.? ?)?\w+, [^\n,;]+, (?:[^\n,;]+, ){{0,3}}{_TOWN} (?:\d{{3}} ?\d{{3}})")),
+    (("box ",), _address(rf"P\. ?O\. ?Box \d+, {_TOWN}(?:,? {_CODE})?")),
+    (("weg ", "straße ", "strasse ", "gasse ", "allee ", "platz ", "ring ", "damm ", "ufer "), _address(rf"{_W}(?:weg|straße|strasse|gasse|allee|platz|ring|damm|ufer) \d+[a-z]?, \d{{4,5}} {_TOWN}")),
+    (
+        ("rue ", "avenue ", "boulevard ", "place ", "impasse ", "allée ", "chemin ", "quai ", "calle ", "via "),
+        _address(rf"\d+(?: ?(?:bis|ter))?,? (?:rue|avenue|boulevard|place|impasse|allée|chemin|quai|calle|via)(?: (?:de|du|des|la|le|del))* {_W}(?:[ -]{_W})?, \d{{5}} {_TOWN}"),
+    ),
+    (("calle ", "avenida ", "plaza ", "paseo "), _address(rf"(?:calle|avenida|plaza|paseo) {_W}(?: {_W}){{0,2}},? \d+,(?: \d{{5}})? {_TOWN}")),
+]
+_NUMBER_FIRST = _address(rf"\d+[a-z]? (?:St\. )?{_W}(?: {_W}){{0,2}} {_WAY}{_UNIT}?, {_TOWN}(?:,? {_CODE})?")
+_NUMBER = re.compile(r"\d+[a-z]? ", re.IGNORECASE)
+_CODE_FIRST = _address(rf"{_CODE} {_TOWN}, {_W}(?: {_W}){{0,2}} {_WAY} \d+[a-z]?")
+_NUMBERED_WAY = re.compile(rf" {_WAY} \d", re.IGNORECASE)
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    low = text.lower()
+    for signs, form in ADDRESSES:
+        if any(x in low for x in signs):
+            yield from (m.span() for m in form.finditer(text))
+    for m in _NUMBER.finditer(text):  # the pattern is tried at numbers only
+        if found := _NUMBER_FIRST.match(text, m.start()):
+            yield found.span()
+    if _NUMBERED_WAY.search(text):
+        yield from (m.span() for m in _CODE_FIRST.finditer(text))
+
 
 # --- names --------------------------------------------------------------------------------------------
-#: Given names of several languages that identify a person without further context.
+#: Given names of several languages that identify a person without further context.
 GIVEN = frozenset(
     "Aarav Aditi Aisha Ahmed Alejandro Alice Amara Amelia Amir Ananya Anders Andrea Andrei Anita Anjali Anna Antoine Arjun Astrid Bastian "
     "Beatriz Bruno Camille Carlos Carmen Chen Chloe Claire Clara Daniela David Deepak Devika Diego Dmitri Elena Elias Elif Emeka Emma Erik "
@@ -107,7 +137,7 @@ GIVEN = frozenset(
     "Pierre Priya Priyanka Rahul Raj Ravi Rohan Rosa Ruth Sakura Samir Sandeep Sanjay Sanvi Sara Sergei Simran Sofia Sofie Sunita Tanvi Tara "
     "Thomas Tobias Tomas Valentina Vikram Yara Yusuf Zainab Zoe".split()
 )
-#: Words that start a sentence or a label, never a surname.
+#: Words that start a sentence or a label, never a surname.
 STARTERS = frozenset(
     "The An They Then There These This That Those Two Three Four Both Some Somebody Someone Our Out On Once One In If It Its At As After Again "
     "Also And Another Any Before But By For Friends From He Her His She How However Later Looking Right Next My Me Not Of Or So Since Still "
@@ -123,20 +153,43 @@ _TITLE = r"(?:(?:Dr|Mr|Mrs|Ms|Prof|Mx|Herr|Frau|Sr|Sra|Mme)\.? )?"
 _TOK = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?:['’][A-Z][a-z]+)?"
 _PART = rf"{_TOK}(?:-{_TOK})?"
 _NAME = rf"(?:{_PART}|[A-Z]\.)(?: [A-Z]\.)?(?: {_PART}){{0,3}}"
+#: (what a text must hold for the phrase to be sought, phrase that comes before a name).
 NAME_BEFORE = [
-    r"interviewed by ", r"themself as ", r"himself as ", r"herself as ", r"myself as ", r"signed [\"“']", r"recruiter,? ", r"reclutador,? ", r"reclutadora,? ",
-    r"Ansprechperson war ", r"[Mm]anager would have been ", r"Thanks to ", r"Thank you,? ", r"Merci à ", r"Gracias a ", r"Danke an ", r"[Ii] first met ",
-    r"First I met ", r"Hi all, ", r"Hello,? I am ", r"[Ii] am ", r"[Mm]y name is ", r"Name: ", r"\| ?[Nn]ame ?\| ", r"Later (?=(?:Mr|Ms|Mrs|Dr|Mx)\.)", r"[Ww]ritten by ",
-    r"Interviewer: ", r"Recruiter: ", r"Panel: ", r"Candidate:? ", r"\bcc ", r"[Pp]anel was ", r"still remember ", r"\b[Mm]et ", r"Regards,\s+", r"(?:Cheers|Best|Thanks|Sincerely),\s+", r"(?:^|(?<=\s))[—–] ?",
+    ("interviewed by ", r"interviewed by "), ("themself as ", r"themself as "), ("imself as ", r"himself as "), ("erself as ", r"herself as "), ("yself as ", r"myself as "), ("signed ", r"signed [\"“']"),
+    ("recruiter", r"recruiter,? "), ("reclutador", r"reclutador,? "), ("reclutadora", r"reclutadora,? "), ("Ansprechperson", r"Ansprechperson war "), ("anager would", r"[Mm]anager would have been "),
+    ("hanks to ", r"Thanks to "), ("hank you", r"Thank you,? "), ("Merci", r"Merci à "), ("Gracias", r"Gracias a "), ("Danke", r"Danke an "), ("first met ", r"[Ii] first met "), ("First I met", r"First I met "),
+    ("Hi all", r"Hi all, "), ("Hello", r"Hello,? I am "), (" am ", r"[Ii] am "), ("y name is ", r"[Mm]y name is "), ("Name: ", r"Name: "), ("ame", r"\| ?[Nn]ame ?\| "), ("Later ", r"Later (?=(?:Mr|Ms|Mrs|Dr|Mx)\.)"),
+    ("ritten by ", r"[Ww]ritten by "), ("Interviewer: ", r"Interviewer: "), ("Recruiter: ", r"Recruiter: "), ("Panel: ", r"Panel: "), ("Candidate", r"Candidate:? "), ("cc ", r"\bcc "), ("anel was ", r"[Pp]anel was "),
+    ("still remember ", r"still remember "), ("et ", r"\b[Mm]et "), ("Regards,", r"Regards,\s+"), ("Cheers,", r"Cheers,\s+"), ("Best,", r"Best,\s+"), ("Thanks,", r"Thanks,\s+"), ("Sincerely,", r"Sincerely,\s+"),
+    ("—", r"(?:^|(?<=\s))— ?"), ("–", r"(?:^|(?<=\s))– ?"),
 ]
-_BEFORE = re.compile(rf"(?:{'|'.join(NAME_BEFORE)}){_TITLE}(?P<n>{_NAME})")
+
+
+@functools.lru_cache(maxsize=4096)
+def _before(phrases: tuple[str, ...]) -> re.Pattern:
+    return re.compile(rf"(?:{'|'.join(phrases)}){_TITLE}(?P<n>{_NAME})")
+
+
 _CHAIN = re.compile(rf"(?: and | / | & |, then | y | und | et ){_TITLE}(?P<n>{_NAME})")
+_AFTER_SIGNS = ("asked me", "from the talent", "who leads", "took over", "here, sharing", "replied within", "joined the call", "llamó dos veces", "pour la recommandation", "for the referral", "for the missing", "s question")
+#: Two or more capitalised words where a sentence is about talking to somebody, or about what somebody did.
+_PAIR = rf"{_PART}(?: [A-Z]\.)? {_PART}"
+_TALK = re.compile(rf"\b(?:spoke|speaking|talked|talking|chatted|chatting|interviewed|a call|a chat|sat down|worked) with {_TITLE}(?P<n>{_PAIR})")
+_TALK_SIGNS = ("spoke with ", "speaking with ", "talked with ", "talking with ", "chatted with ", "chatting with ", "nterviewed with ", "a call with ", "a chat with ", "sat down with ", "orked with ")
+_DID = re.compile(rf"(?<![\w@.-]){_TITLE}(?P<n>{_PAIR})(?= (?:led the|ran the|joined the|conducted the|introduced (?:him|her|them)self|walked me|told me|called me|greeted me|said (?:that|he|she|they)))")
+_DID_SIGNS = ("led the", "ran the", "joined the", "conducted the", "introduced ", "walked me", "told me", "called me", "greeted me", "said ")
 _AFTER = re.compile(rf"(?<![\w@.-]){_TITLE}(?P<n>{_NAME})(?=,? (?:asked me|from the talent|who leads|took over|here, sharing|replied within|joined the call|llamó dos veces|pour la recommandation|for the referral|for the missing)|['’]s question)")
 _TITLED = re.compile(rf"(?<!\w)(?:Dr|Mr|Mrs|Ms|Mx|Prof)\. (?P<n>{_NAME})")
 _GIVEN = re.compile(rf"(?<![\w@.＠-])(?P<n>(?:[A-Z]\. )?(?:{'|'.join(sorted(GIVEN))})(?:-{_TOK})?(?: [A-Z]\.)?(?: {_PART}){{0,3}})(?![\w@＠])")
 _PLACES = re.compile(r"(?:Labs|Systems|Networks|Robotics|Analytics|Software|Cloud|Health|Logistics|Payments|Semiconductors|Interactive|Inc|Ltd|GmbH|Corp|Foods|Airlines|Round|Round-?Robin|Residency|University|College|Bank)$")
 
 
+_CAPITAL = re.compile(r"[A-Z][a-zà-öø-ÿ]+")
+_TITLES = ("Dr. ", "Mr. ", "Mrs. ", "Ms. ", "Mx. ", "Prof. ")
+#: Words of roles and teams, which stand where a person could.
+_ROLE = re.compile(r"\b(?:Engineer|Engineers|Developer|Manager|Managers|Director|Lead|Leads|Architect|Analyst|Scientist|Designer|Team|Teams|Group|Department|Recruiter|Recruiters|Master|Owner|Officer|Panel|Tester|Writer|Administrator|Support|Human|Resources|Science|Learning|Product|Software|Talent|Staff|Senior|Junior|Principal)\b")
+
+
 def _trim_name(text: str, start: int, end: int, context: bool) -> tuple[int, int] | None:
     """Cut a name's tail where another sentence or a business begins; None if nothing of it is a name."""
     words = text[start:end].split(" ")
@@ -179,7 +232,8 @@ def _trim_name(text: str, start: int, end: int, context: bool) -> tuple[int, int
 
 
 def _names(text: str) -> Iterator[tuple[int, int]]:
-    for m in _BEFORE.finditer(text):
+    phrases = tuple(p for sign, p in NAME_BEFORE if sign in text)
+    for m in _before(phrases).finditer(text) if phrases else ():
         got = _trim_name(text, m.start("n"), m.end("n"), True)
         while got:
             yield got
@@ -189,13 +243,32 @@ def _names(text: str) -> Iterator[tuple[int, int]]:
             if not m2:
                 break
             got = _trim_name(text, m2.start("n"), m2.end("n"), True)
-    for pattern, context in ((_AFTER, True), (_TITLED, True), (_GIVEN, False)):
+    forms = []
+    if any(x in text for x in _AFTER_SIGNS):
+        forms.append((_AFTER, True))
+    if any(x in text for x in _TITLES):
+        forms.append((_TITLED, True))
+    if not GIVEN.isdisjoint(_CAPITAL.findall(text)):
+        forms.append((_GIVEN, False))
+    for pattern, context in forms:
         for m in pattern.finditer(text):
             if got := _trim_name(text, m.start("n"), m.end("n"), context):
                 yield got
+    for pattern, signs in ((_TALK, _TALK_SIGNS), (_DID, _DID_SIGNS)):
+        for m in pattern.finditer(text) if any(x in text for x in signs) else ():
+            got = _trim_name(text, m.start("n"), m.end("n"), True)
+            while got and " " in text[got[0] : got[1]] and not _ROLE.search(text, *got) and not _PLACES.search(text[got[0] : got[1]]):
+                yield got
+                m2 = _CHAIN.match(text, got[1])
+                got = _trim_name(text, m2.start("n"), m2.end("n"), True) if m2 else None
+
+
+_DIGITS = re.compile(r"\d{4}|\d[ -]\d\d[ -]\d")
 
 
 def _ids(text: str) -> Iterator[tuple[int, int]]:
+    if not _DIGITS.search(text):  # every form holds four digits together, or pairs of them
+        return
     for m in ID_FORMS.finditer(text):
         before = text[max(0, m.start() - 45) : m.start()]
         if re.search(r"\b(?:label|class|ticket|sum|range|version|value|constant)\b[^.!?\n]{0,20}$", before, re.IGNORECASE):
@@ -221,8 +294,8 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 RECOGNISERS = {
-    "email": lambda t: (m.span() for m in EMAIL.finditer(t)),
-    "address": lambda t: (m.span() for m in ADDRESS.finditer(t)),
+    "email": _emails,
+    "address": _addresses,
     "id_number": _ids,
     "phone": _phones,
     "name": _names,
@@ -298,17 +371,125 @@ def permute_format(value: str, key: bytes) -> str:
     return "".join(reversed(out))
 
 
+def _replace_digits(value: str, at: list[int], digits: str) -> str:
+    out = list(value)
+    for i, d in zip(at, digits, strict=True):
+        out[i] = d
+    return "".join(out)
+
+
+def _walk(digits: str, key: bytes, valid) -> str:  # noqa: ANN001
+    """Permute ``digits`` until the outcome is as valid as they are: a permutation of the valid and of the others."""
+    wanted = valid(digits)
+    while True:
+        digits = permute_format(digits, key)
+        if valid(digits) == wanted:
+            return digits
+
+
+def _verhoeff(digits: str) -> int:
+    """The checksum in the dihedral group of order ten; 0 for a number with its right check digit."""
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c)
+        for _ in range(i % 8):
+            d = _TURN[d]
+        a, b = total, d
+        total = (a + b) % 5 if a < 5 and b < 5 else 5 + (a + b - 5) % 5 if a < 5 else 5 + (a - 5 - b) % 5 if b < 5 else (a - b) % 5
+    return total
+
+
+#: The permutation of digits of the Verhoeff checksum.
+_TURN = (1, 5, 7, 6, 2, 8, 3, 0, 9, 4)
+
+
+def permute_id(value: str, key: bytes) -> str:
+    """An identity number as another one of its kind: twelve digits keep a right check digit right, social security
+    numbers stay possible ones, of permanent account numbers the letter for the kind of holder stays."""
+    at = [i for i, c in enumerate(value) if "0" <= c <= "9"]
+    digits = "".join(value[i] for i in at)
+    letters = [i for i, c in enumerate(value) if c.isalpha()]
+    if len(digits) == 12 and not letters:
+        if _verhoeff(digits):
+            return _replace_digits(value, at, _walk(digits, key, lambda x: _verhoeff(x) == 0))
+        body = permute_format(digits[:11], key)
+        return _replace_digits(value, at, body + next(c for c in "0123456789" if _verhoeff(body + c) == 0))
+    if len(digits) == 9 and not letters:
+        possible = lambda x: x[:3] not in ("000", "666") and x[0] != "9" and x[3:5] != "00" and x[5:] != "0000"
+        return _replace_digits(value, at, _walk(digits, key, possible))
+    if re.fullmatch(r"[A-Za-z]{5}\d{4}[A-Za-z]", value):
+        moved = permute_format(value[:3] + value[4:], key)
+        return moved[:3] + value[3] + moved[3:]
+    return permute_format(value, key)
+
+
+#: Country calling codes of one and two digits; all others have three.
+_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def permute_phone(value: str, key: bytes) -> str:
+    """A phone number whose national digits are permuted; country code and trunk zero stay apart and unchanged, so a
+    number is linked in all its notations."""
+    at = [i for i, c in enumerate(value) if "0" <= c <= "9"]
+    digits = "".join(value[i] for i in at)
+    code = 0
+    if value.startswith("+") or digits.startswith("00"):
+        code = 0 if value.startswith("+") else 2
+        code += next((n for n in (1, 2) if digits[code : code + n] in _CODES), 3)
+    elif len(digits) == 11 and digits[0] == "1":
+        code = 1
+    while code < len(digits) - 4 and digits[code] == "0":
+        code += 1
+    return _replace_digits(value, at[code:], permute_format(digits[code:], key))
+
+
+_JOINT = re.compile(r"(\s?[\[(]\s?(?:at|dot)\s?[\])]\s?|\s(?:at|dot)\s|\s?[@＠]\s?|\.)", re.IGNORECASE)
+_AT = re.compile(r"\s?[@＠]\s?|\s?[\[(]\s?at\s?[\])]\s?|\sat\s", re.IGNORECASE)
+_SECOND_LEVEL = frozenset("co com org net ac gov edu".split())
+
+
+def permute_email(value: str, key: bytes) -> str:
+    """An address whose local part and domain labels are permuted each for itself: equal domains stay linked, and
+    the top-level domain stays a real one."""
+    m = _AT.search(value)
+    if not m:
+        return permute_format(value, key)
+    parts = _JOINT.split(value[m.end() :])
+    labels = list(range(0, len(parts), 2))
+    kept = 2 if len(labels) > 2 and len(parts[labels[-1]]) == 2 and parts[labels[-2]].lower() in _SECOND_LEVEL else 1
+    for i in labels[:-kept]:
+        parts[i] = permute_format(parts[i], key)
+    return permute_format(value[: m.start()], key) + m.group() + "".join(parts)
+
+
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_000
-BIRTH_DATE = re.compile(r"(?:(?<=born )|(?<=born on )|(?<=dob )|(?<=dob: )|(?<=DOB: )|(?<=DOB )|(?<=birth )|(?<=birth: ))(\d{4})-(\d{2})-(\d{2})\b")
+BIRTH_DATE = re.compile(r"(\b(?:born|date of birth|birth ?date|birthday|dob|d\.o\.b\.?|birth)(?: on| is| was)?[:\s]\s?)(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([./-])(\d{1,2})\6(\d{4}))\b", re.IGNORECASE)
 
 
-def permute_date(iso: str, key: bytes) -> str:
-    """A valid date of 1900 to 2099 as another one of that span; anything else unchanged."""
+def _moved_date(year: int, month: int, day: int, key: bytes) -> datetime.date | None:
     try:
-        n = datetime.date.fromisoformat(iso).toordinal() - _FIRST_DAY
+        n = datetime.date(year, month, day).toordinal() - _FIRST_DAY
     except ValueError:
-        return iso
-    return datetime.date.fromordinal(feistel(n, _DAYS, key, b"date") + _FIRST_DAY).isoformat() if 0 <= n < _DAYS else iso
+        return None
+    return datetime.date.fromordinal(feistel(n, _DAYS, key, b"date") + _FIRST_DAY) if 0 <= n < _DAYS else None
+
+
+def permute_date(iso: str, key: bytes) -> str:
+    """A valid date of 1900 to 2099 as another one of that span; anything else unchanged."""
+    moved = _moved_date(*map(int, iso.split("-")), key)
+    return moved.isoformat() if moved else iso
+
+
+def _birth_date(m: re.Match, key: bytes) -> str:
+    """The date in its notation; days come first unless the year does. A date in two notations has one pseudonym."""
+    y, mo, d = (m[2], m[3], m[4]) if m[2] else (m[8], m[7], m[5])
+    moved = _moved_date(int(y), int(mo), int(d), key)
+    if moved is None:
+        return m[0]
+    return m[1] + (moved.isoformat() if m[2] else f"{moved.day:02}{m[6]}{moved.month:02}{m[6]}{moved.year}")
+
+
+_PERMUTED = {"phone": permute_phone, "id_number": permute_id, "email": permute_email}
 
 
 def pseudonymise(text: str, key: bytes) -> str:
@@ -316,9 +497,9 @@ def pseudonymise(text: str, key: bytes) -> str:
     out, at = [], 0
     for start, end, kind in find(text):
         found = text[start:end]
-        out += [text[at:start], permute_format(found, key) if kind in ("phone", "id_number", "email") else PLACEHOLDERS[kind]]
+        out += [text[at:start], _PERMUTED[kind](found, key) if kind in _PERMUTED else PLACEHOLDERS[kind]]
         at = end
-    return BIRTH_DATE.sub(lambda m: permute_date(m.group(), key), "".join([*out, text[at:]]))
+    return BIRTH_DATE.sub(lambda m: _birth_date(m, key), "".join([*out, text[at:]]))
 
 
 # --- operators ----------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,9 @@ def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
-    return pseudonymise_personal_data(table(spark, d, "scraped_documents"), "record_no", "raw_content", secret="rotate me")
+    # without a secret of its own a session draws one: pseudonyms are then linked within this result only
+    secret = spark.conf.get("sieveline.pseudonym.secret", None) or secrets.token_hex(32)
+    return pseudonymise_personal_data(table(spark, d, "scraped_documents"), "record_no", "raw_content", secret=secret)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
