@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 
 from sieveline.plans.runtime import salted_join, staged
 
-#: Words that add a legal form, a place, a team, a seniority or a kind of work.
+#: Words that add a legal form, a place, a team, a seniority or a kind of work.
 ADDITIONS = frozenset(
     "the at a an of in for and inc incorporated llc llp ltd limited gmbh ag corp corporation co company pvt private plc sa sas bv nv ab oy kg srl spa "
     "team teams office offices branch dept department division org india usa us uk eu europe emea apac germany france remote hybrid onsite wfh r d rd via referral "
     "jr junior sr snr senior lead principal staff chief head intern internship trainee fresher graduate grad entry mid level experienced "
     "i ii iii iv v l1 l2 l3 l4 l5 l6 l7 e3 e4 e5 t1 t2 technologies technology solutions services holdings group contract contractor ft pt fulltime parttime temp yrs yr years year exp role position".split()
 )
-#: What is commonly written for a word of a job title.
+#: What is commonly written for a word of a job title.
 SHORT_FORMS = {
     "engr": "engineer", "engg": "engineer", "eng": "engineer", "engnr": "engineer", "dev": "developer", "devs": "developer", "mgr": "manager", "mngr": "manager",
     "admin": "administrator", "swe": "software engineer", "sde": "software engineer", "ml": "machine learning", "fe": "frontend", "be": "backend", "fs": "full stack",
@@ -40,7 +40,7 @@ SHORT_FORMS = {
     "ops": "operations", "sci": "scientist", "robo": "robotics", "auto": "automation", "mle": "machine learning engineer", "netw": "network", "soln": "solutions", "sdet": "sdet",
     "appsec": "security engineer", "biz": "business", "dsgnr": "designer", "tester": "test engineer", "engring": "engineering", "mktg": "marketing",
 }
-#: Phrases that say the same in other words.
+#: Phrases that say the same in other words.
 PHRASES = {
     "user experience": "ux", "front end": "frontend", "back end": "backend", "dev ops": "devops", "block chain": "blockchain", "data base": "database", "quality analyst": "quality assurance",
     "i os": "ios", "iphone": "ios", "sys admin": "system administrator", "web ?3": "blockchain", "eng[gr]* ing": "engineering", "automation tester": "test automation engineer",
@@ -81,7 +81,7 @@ def edits(token: str) -> int:
 def remains(token: str, depth: int) -> set[str]:
     out = {token}
     for n in range(1, depth + 1):
-        out |= {"".join(c for i, c in enumerate(token) if i not in gone) for gone in map(set, combinations(range(len(token)), n))} if len(token) <= 24 or n == 1 else set()
+        out |= {"".join(c for i, c in enumerate(token) if i not in gone) for gone in map(set, combinations(range(len(token)), n))}
     return out
 
 
@@ -183,6 +183,11 @@ class Matcher:
         return 0
 
 
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Small rows that cost much each: adaptive execution would put them into one task by their bytes."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: str, entry_name: str, entry_aliases: str) -> DataFrame:
     """(column, ref_id int) of every distinct value that is neither NULL nor blank; 0 stands for none.
 
@@ -221,7 +226,7 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
                 for r in remains(w, max(edits(w), 1 if len(w) >= 3 else 0)):
                     words.append(w)
                     rest.append(r)
-                for n in range(3, min(len(w), 12)):  # an abbreviation is a beginning of its word
+                for n in range(3, len(w)):  # an abbreviation is a beginning of its word
                     words.append(w)
                     rest.append("^" + w[:n])
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(rest, pa.string())], names=["word", "rest"])
@@ -255,7 +260,7 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
                 likeness.append(s)
             yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows, pa.int32())).columns, pa.array(likeness, pa.float64())], names=["token", "word", "likeness"])
 
-    repairs = staged(distinct_tokens.join(vocabulary, "rest").select("token", "word").distinct().mapInArrow(verify, "token string, word string, likeness double"), "p5-repairs")
+    repairs = staged(spread_out(distinct_tokens.join(vocabulary, "rest").select("token", "word").distinct(), "token").mapInArrow(verify, "token string, word string, likeness double"), "p5-repairs")
 
     # weights of the reference's own words: one row for each, joined rather than broadcast
     n_entries = entries.count()
@@ -286,7 +291,7 @@ def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: s
                 out.append(Matcher(weights, most).match(found, repaired, {x["entry"]: x["forms"] for x in listed_entries or []}))
             yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(out, pa.int32())], names=["value", "ref_id"])
 
-    decided = ready.mapInArrow(decide, "value string, ref_id int")
+    decided = spread_out(ready, "value").mapInArrow(decide, "value string, ref_id int")
     return staged(decided, "p5-decided").withColumnRenamed("value", column)
 
 
