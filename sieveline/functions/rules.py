@@ -187,4 +187,13 @@ ENUMS = {
     "interview_outcome": ["offer", "reject", "pending", "unknown"],
     "difficulty": ["easy", "medium", "hard", "unknown"],
 }
+# The scalar columns of the processed schema, in order.
+TARGET = (
+    "document_id source_platform source_url content_hash title content word_count company role experience_level interview_outcome difficulty num_rounds "
+    "published_at scraped_at preprocessed_at scrape_batch_id source_metadata"
+).split()
+# Signs of a paywall in the text of a page, then in the state of its posts.
+PAYWALL_TEXTS = [("Member-only badge", r"(?i)Member-only story"), ("Preview text", r"(?i)This is a preview"), ("Paywall CTA", r"(?i)Upgrade to continue|Subscribe to read")]
+PAYWALL_STATES = [("Apollo isLocked", "isLocked"), ("Apollo isLockedPreviewOnly", "isLockedPreviewOnly"), ("Apollo isMarkedPaywallOnly", "isMarkedPaywallOnly")]
+PAYWALL_CONTENT = 'content({"postMeteringOptions":{"referrer":""}})'
 REQUIRED = ["document_id", "source_platform", "source_url", "content_hash", "title", "content", "company", "role"]

@@ -29,16 +29,9 @@ def tag(df: DataFrame, step: str, reason: Column) -> DataFrame:
 
 
 def redact(df: DataFrame, column: str = "content", pii: list = rules.PII) -> DataFrame:
-    """Rules in order, each counted on the text the ones before left; counts as a map of types > 0."""
-    c, counts = F.coalesce(F.col(column), F.lit("")), {}
-    for i, (kind, placeholder, pattern) in enumerate(pii):
-        name = f"__pii{i}"
-        df = df.withColumn(name, F.regexp_count(c, F.lit(pattern)))
-        df = df.withColumn(column, F.regexp_replace(F.col(column), pattern, placeholder))
-        counts.setdefault(kind, []).append(name)
-        c = F.coalesce(F.col(column), F.lit(""))
-    pairs = [x for kind, names in counts.items() for x in (F.lit(kind), sum((F.col(n) for n in names), F.lit(0)))]
-    return df.withColumn("pii_counts", F.map_filter(F.create_map(*pairs), lambda _, v: v > 0)).drop(*[n for names in counts.values() for n in names])
+    """Rules in order, each counted on the text the ones before left; counts as a map of types > 0. NULL stays NULL."""
+    done = df.withColumn("__redacted", text.redactor(pii)(F.col(column)))
+    return done.withColumns({column: F.col("__redacted.content"), "pii_counts": F.col("__redacted.counts")}).drop("__redacted")
 
 
 def signal_ratio(c: Column, keywords: list[str] = rules.SIGNALS) -> Column:
@@ -95,7 +88,7 @@ def deduplicate(df: DataFrame, existing: DataFrame | None = None, key: str = "co
     or of ``existing`` (content_hash), near if its word shingles are similar to a row's kept before."""
     df = staged(df.withColumn("content_hash", text.content_key(F.col(key))), "dedup-rows")
     live = F.col("filter_reason").isNull() & ~text.is_blank(F.col(key))
-    rank = F.row_number().over(Window.partitionBy("content_hash", live).orderBy(order))
+    rank = F.row_number().over(Window.partitionBy(F.when(live, F.col("content_hash")).otherwise(F.col(order).cast("string"))).orderBy(order))  # others stand alone
     seen = F.lit(False)
     if existing is not None:
         df = df.join(existing.select("content_hash").distinct().withColumn("__seen", F.lit(True)), "content_hash", "left")
@@ -138,10 +131,11 @@ def entities(df: DataFrame, companies: DataFrame | None = None, roles: DataFrame
 
 
 def num_rounds(low: Column) -> Column:
-    """The larger of the highest "N rounds" and the number of distinct round phrases; 0 becomes NULL."""
-    said = F.array_max(F.transform(F.regexp_extract_all(low, F.lit(r"(\d{1,4})\s*(?:rounds|stages)"), 1), lambda x: x.cast("int")))
+    """The larger of the highest "N rounds" (or "N round", "N stages") and the number of distinct round phrases; 0 becomes
+    NULL. Numbers beyond 64 bits are passed over."""
+    said = F.array_max(F.transform(F.regexp_extract_all(low, F.lit(r"(\d+)\s*(?:rounds?|stages?)"), 1), lambda x: x.try_cast("bigint")))
     found = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(low, F.lit(p), 1) for p in rules.ROUND_COUNTS])))
-    return F.nullif(F.greatest(F.coalesce(said, F.lit(0)), F.size(found)), F.lit(0))
+    return F.nullif(F.greatest(F.coalesce(said, F.lit(0).cast("bigint")), F.size(found).cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def safe_enum(c: Column, valid: list[str]) -> Column:
@@ -155,6 +149,17 @@ def missing_fields(columns: list[str] = rules.REQUIRED, held: dict[str, Column]
     return F.array_compact(F.array(*[F.when(text.is_blank(values[c].cast("string")), F.lit(c)) for c in columns]))
 
 
+def database_enum(c: Column, valid: list[str]) -> Column:
+    """The value as it stands if the database knows it, else NULL; 'unknown' is not stored."""
+    return F.when(c.isin([v for v in valid if v != "unknown"]), c)
+
+
+def project(df: DataFrame, columns: list[str] = rules.TARGET, renames: dict[str, str] | None = None) -> DataFrame:
+    """The target columns in order, from their own name or the one given in ``renames``; absent ones are NULL."""
+    held = {renames.get(c, c) if renames else c: c for c in df.columns}
+    return df.select(*[F.col(f"`{held[c]}`").alias(c) if c in held else F.lit(None).cast("string").alias(c) for c in columns])
+
+
 def validate(df: DataFrame, required: list[str] = rules.REQUIRED) -> DataFrame:
     """A required column that is NULL, blank or not there is missing; of titles the cleaned one counts, if there is one."""
     held = {c: F.col(c) for c in required if c in df.columns} | ({"title": F.col("clean_title")} if "clean_title" in df.columns else {})
@@ -303,6 +308,23 @@ def q_enums(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("document_id", *[safe_enum(F.col(c), v).alias(c) for c, v in rules.ENUMS.items()])
 
 
+def q_database_enums(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "processed_documents")
+    kinds = F.filter("interview_types", lambda x: x.isin(list(rules.INTERVIEW_TYPES)))
+    return docs.select("document_id", *[database_enum(F.col(c), v).alias(c) for c, v in rules.ENUMS.items()], F.array_join(kinds, ",").alias("types"))
+
+
+def q_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Scraped records in the columns of the processed schema; raw_content becomes content."""
+    out = project(_raw(spark, d).drop("scrape_type"), renames={"raw_content": "content"})
+    return out.select(*[F.md5(c).alias(c) if c == "content" else F.col(c) for c in rules.TARGET])
+
+
+def q_topics(spark: SparkSession, d: str) -> DataFrame:
+    """Topics without repeats, in order; NULL stays NULL."""
+    return table(spark, d, "processed_documents").select("document_id", F.array_join(F.array_sort(F.array_distinct("topics")), ",").alias("topics"))
+
+
 def q_missing(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "processed_documents")
     return docs.select("document_id", F.array_join(missing_fields(), ",").alias("missing"))
@@ -368,7 +390,7 @@ QUERIES = {
     "pipeline_run": q_pipeline, "step_stats": q_step_stats, "filter_reason_histogram": q_reasons, "word_count_bounds": q_word_count, "signal_ratio": q_signal, "error_page_filter": q_error_pages,
     "language_gate": q_language, "pii_counts": q_pii_counts, "pii_redact": q_pii_redact, "pii_emails": q_pii_portable, "normalized_documents": q_normalized, "whitespace_normalize": q_spaces,
     "literal_encoding_fix": q_literals, "emoji_strip": q_emoji, "markdown_strip": q_markdown, "html_strip": q_html, "document_id_from_url": q_document_id, "platform_alias": q_platform,
-    "enum_safe_cast": q_enums, "required_fields_missing": q_missing, "interview_types_filter": q_types, "level_first_match": q_labels, "outcome_tail_first": q_outcome, "num_rounds": q_rounds,
+    "enum_safe_cast": q_enums, "database_enums": q_database_enums, "target_projection": q_projection, "topics_sorted": q_topics, "required_fields_missing": q_missing, "interview_types_filter": q_types, "level_first_match": q_labels, "outcome_tail_first": q_outcome, "num_rounds": q_rounds,
     "title_company": q_title_company, "title_company_all": q_title_company_all, "markdown_strip_all": q_markdown_all, "alias_lookup_longest": q_alias, "dedup_existing_hash_anti": q_dedup_existing, "shingle_counts": q_shingles,
 }
 
@@ -407,11 +429,14 @@ SQL = {
     "document_id_from_url": f"SELECT record_no, {_STRIP.format('lower(source_platform)')} || '_' || translate(substr(to_base64(unhex(sha256(source_url))), 1, 6), '+/', '-_') AS made_id FROM scraped_documents",
     "platform_alias": f"SELECT platform, count(*) AS n FROM (SELECT CASE p {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in rules.PLATFORMS.items())} ELSE p END AS platform FROM (SELECT {_STRIP.format('lower(source_platform)')} AS p FROM scraped_documents)) GROUP BY 1",
     "enum_safe_cast": "SELECT document_id, " + ", ".join(f"CASE WHEN {_STRIP.format(f'lower({c})')} IN ({_quoted(v)}) THEN {_STRIP.format(f'lower({c})')} END AS {c}" for c, v in rules.ENUMS.items()) + " FROM processed_documents",
+    "database_enums": "SELECT document_id, " + ", ".join(f"CASE WHEN {c} IN ({_quoted([x for x in v if x != 'unknown'])}) THEN {c} END AS {c}" for c, v in rules.ENUMS.items()) + f", array_to_string(list_filter(interview_types, lambda x: x IN ({_quoted(list(rules.INTERVIEW_TYPES))})), ',') AS types FROM processed_documents",
+    "target_projection": "SELECT document_id, source_platform, source_url, content_hash, title, md5(raw_content) AS content, " + ", ".join(f"NULL::VARCHAR AS {c}" for c in ("word_count", "company", "role", "experience_level", "interview_outcome", "difficulty", "num_rounds")) + ", published_at, scraped_at, NULL::VARCHAR AS preprocessed_at, scrape_batch_id, source_metadata FROM scraped_documents",
+    "topics_sorted": "SELECT document_id, array_to_string(list_sort(list_distinct(topics)), ',') AS topics FROM processed_documents",
     "required_fields_missing": "SELECT document_id, concat_ws(',', " + ", ".join(f"CASE WHEN coalesce({_STRIP.format(c)}, '') = '' THEN '{c}' END" for c in rules.REQUIRED) + ") AS missing FROM processed_documents",
     "interview_types_filter": f"SELECT document_id, array_to_string(list_filter(list_transform(interview_types, lambda x: lower(trim(x))), lambda x: x IN ({_quoted(list(rules.INTERVIEW_TYPES))})), ',') AS types FROM processed_documents",
     "level_first_match": f"SELECT document_id, {_ladder('content', rules.LEVELS, 'ELSE ' + repr('unknown'))} AS level, {_ladder('content', rules.DIFFICULTIES, 'ELSE ' + repr('unknown'))} AS difficulty_found FROM (SELECT DISTINCT * FROM processed_documents)",
     "outcome_tail_first": f"SELECT document_id, coalesce({_ladder('substr(content, floor(length(content) * 0.7)::INT + 1)', rules.OUTCOMES, '')}, {_ladder('content', rules.OUTCOMES, '')}, 'unknown') AS outcome FROM (SELECT DISTINCT * FROM processed_documents)",
-    "num_rounds": "SELECT document_id, nullif(greatest(coalesce(list_max(list_transform(regexp_extract_all(c, '(\\d{1,4})\\s*(?:rounds|stages)', 1), lambda x: x::INT)), 0), len(list_distinct(flatten(["
+    "num_rounds": "SELECT document_id, nullif(greatest(coalesce(list_max(list_transform(regexp_extract_all(c, '(\\d+)\\s*(?:rounds?|stages?)', 1), lambda x: try_cast(x AS BIGINT))), 0), len(list_distinct(flatten(["
     + ", ".join(f"regexp_extract_all(c, '{p}', 1)" for p in rules.ROUND_COUNTS)
     + "])))), 0) AS rounds FROM (SELECT DISTINCT * REPLACE (content AS content), lower(content) AS c FROM processed_documents)",
     "title_company": f"SELECT record_no, nullif({_STRIP.format(f'regexp_extract(coalesce(title, {chr(39)*2}), {chr(39)}{rules.TITLE_COMPANY[4]}{chr(39)}, 1)')}, '') AS company FROM scraped_documents",

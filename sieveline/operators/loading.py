@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import text
 from sieveline.operators.dedup import keep_first
-from sieveline.plans.runtime import table
+from sieveline.plans.runtime import numbered_by, table
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, update: list[str] | None = None) -> DataFrame:
@@ -30,12 +30,12 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def get_or_create(dim: DataFrame, id_col: str, name_col: str, values: DataFrame, value_col: str) -> DataFrame:
     """The dimension with a row for every new non-blank value (key: lower case, stripped); new ids follow the
-    largest in order of the key. New keys are few against the rows they come from; they are ranked together."""
+    largest in order of the key."""
     key = F.lower(text.strip(F.col(value_col)))
     fresh = values.where(~text.is_blank(F.col(value_col))).groupBy(key.alias("k")).agg(F.min(text.strip(F.col(value_col))).alias(name_col))
     fresh = fresh.join(dim.select(F.lower(text.strip(F.col(name_col))).alias("k")), "k", "left_anti")
     top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top"))
-    numbered = fresh.join(F.broadcast(top)).withColumn(id_col, (F.col("top") + F.row_number().over(Window.orderBy("k"))).cast("int"))  # top is one row
+    numbered = numbered_by(fresh, "k", "__no").crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("top") + F.col("__no")).cast("int"))  # top is one row
     return dim.select(id_col, name_col).unionByName(numbered.select(id_col, name_col))
 
 
@@ -59,11 +59,19 @@ def q_inner_join(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("company_name", "title").agg(F.count("*").alias("n_chunks"))
 
 
+def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """Rows of ``df`` whose key is NOT IN ``other``, with SQL's rules for NULL: nothing is known not to be in a list
+    that holds a NULL, and a NULL is in no list but also not known not to be, unless the list is empty. The rules take
+    one row of counts; the join itself is a plain anti-join, which never needs the whole list in one place."""
+    state = other.agg(F.count("*").alias("__n"), F.count_if(F.col(other_key).isNull()).alias("__nulls"))  # one row
+    rest = df.join(other.select(F.col(other_key).alias(key)).distinct(), key, "left_anti").crossJoin(F.broadcast(state))
+    return rest.where((F.col("__nulls") == 0) & (F.col(key).isNotNull() | (F.col("__n") == 0))).drop("__n", "__nulls")
+
+
 def q_not_in(spark: SparkSession, d: str) -> DataFrame:
     """Documents without chunks, with the null-aware semantics of NOT IN."""
-    table(spark, d, "processed_documents").createOrReplaceTempView("__docs")
-    table(spark, d, "document_chunks").createOrReplaceTempView("__chunks")
-    return spark.sql("SELECT DISTINCT document_id FROM __docs WHERE document_id NOT IN (SELECT document_id FROM __chunks)")
+    docs = table(spark, d, "processed_documents").select("document_id").distinct()
+    return not_in(docs, "document_id", table(spark, d, "document_chunks"), "document_id")
 
 
 def q_upsert_partial(spark: SparkSession, d: str) -> DataFrame:
@@ -89,11 +97,27 @@ def q_insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     return insert_ignore(chunks.where("word_count < 300"), chunks.withColumn("word_count", F.lit(-1)), "chunk_id")
 
 
+def missing_vectors(chunks: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that lack the vector of any of the models' columns."""
+    return chunks.where(F.expr(" or ".join(f"`{c}` is null" for c in columns)))
+
+
+def update_vectors(old: DataFrame, new: DataFrame, key: str, column: str) -> DataFrame:
+    """Every row of ``old`` with the vector that ``new`` has for its key, else its own."""
+    fresh = new.select(key, F.col(column).alias("__fresh"))
+    return old.join(fresh, key, "left").withColumn(column, F.coalesce("__fresh", column)).drop("__fresh")
+
+
+def q_missing_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return missing_vectors(table(spark, d, "document_chunks").dropDuplicates(["chunk_id"]), ["embedding"]).select("chunk_id", "chunk_no")
+
+
 def q_embedding_update(spark: SparkSession, d: str) -> DataFrame:
-    """New vectors by id replace missing ones only; the rest stays."""
-    e = table(spark, d, "embeddings")
-    new = e.where("vec_id % 5 = 0").select("vec_id", F.lit(-1).alias("new_label"))
-    return e.join(new, "vec_id", "left").select("vec_id", F.coalesce("new_label", "label").cast("int").alias("label"))
+    """Vectors for the chunks that lack one; all others keep theirs."""
+    chunks = table(spark, d, "document_chunks").dropDuplicates(["chunk_id"])
+    new = missing_vectors(chunks, ["embedding"]).select("chunk_id", F.transform(F.sequence(F.lit(1), F.lit(384)), lambda i: (i / 384).cast("float")).alias("embedding"))
+    done = update_vectors(chunks, new, "chunk_id", "embedding")
+    return done.select("chunk_id", F.size("embedding").cast("bigint").alias("dims"), F.round(F.get("embedding", 0).cast("double"), 6).alias("first"))
 
 
 def q_resume(spark: SparkSession, d: str) -> DataFrame:
@@ -132,20 +156,52 @@ def q_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return g.where("announced <> delivered")
 
 
+REPLIES = [
+    '```json\n{"relevance": 2, "reason": "r"}\n```', "I would say 2.", "no idea", '{"relevance": "1"}', '{"relevance": 1.0}', '{"relevance": 7, "reason": "2 of 9"}', "score: 12", '{"reason": "none"}', '{"relevance": true}', "{broken 0",
+    '{"relevance": "2.0"}', '{"relevance": null}', "",
+]
+
+
 def q_reply(spark: SparkSession, d: str) -> DataFrame:
-    """Grades read from model replies: JSON in fences, else the first bare digit 0, 1 or 2, else an error."""
+    """Grades read from model replies of many forms, the logged ones among them."""
     logs = table(spark, d, "query_logs").dropDuplicates(["id"])
-    kind = F.col("id") % 4
-    made = F.when(kind == 0, F.concat(F.lit('```json\n{"relevance": '), (F.col("id") % 3).cast("string"), F.lit("}\n```"))).when(kind == 1, F.lit("I would say 2.")).when(kind == 2, F.lit("no idea")).otherwise(F.col("llm_response"))
+    made = F.coalesce(F.get(F.array(*[F.lit(r) for r in REPLIES]), (F.col("id") % (len(REPLIES) + 1)).cast("int")), "llm_response")
     return parse_reply(logs.select("id", made.alias("reply"))).groupBy("how", "grade").agg(F.count("*").alias("n"))
 
 
 def parse_reply(df: DataFrame) -> DataFrame:
-    body = F.regexp_replace(F.coalesce("reply", F.lit("")), r"```(?:json)?", "")
-    graded = F.regexp_extract(body, r'"relevance"\s*:\s*([0-2])\s*[,}]', 1)
-    digit = F.regexp_extract(body, r"(?:^|[^0-9])([0-2])(?:[^0-9]|$)", 1)
-    how = F.when(graded != "", "json").when(digit != "", "parse_fallback").otherwise("error")
-    return df.withColumn("how", how).withColumn("grade", F.when(graded != "", graded.cast("int")).when(digit != "", digit.cast("int")))
+    """(…, how, grade): the whole number 0, 1 or 2 that a reply's JSON names as relevance, whether as a number, a text or
+    a truth value; else the first of these digits anywhere in it; else an error."""
+    body = F.regexp_replace(F.regexp_replace(F.coalesce("reply", F.lit("")), r"```json|```", ""), r"^\s+|\s+$", "")
+    held = df.withColumn("__body", body).withColumn("__v", F.try_variant_get(F.try_parse_json("__body"), "$.relevance", "variant"))
+    kind, said = F.schema_of_variant("__v"), F.try_variant_get("__v", "$", "string")
+    number = (
+        F.when(kind == "STRING", F.when(said.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(said).try_cast("bigint")))
+        .when(kind == "BOOLEAN", F.when(said == "true", 1).otherwise(0).cast("bigint"))
+        .otherwise(F.try_variant_get("__v", "$", "double").try_cast("bigint"))
+    )
+    graded = F.when(number.between(0, 2), number)
+    digit = F.nullif(F.regexp_extract("__body", "[012]", 0), F.lit(""))
+    how = F.when(graded.isNotNull(), "json").when(digit.isNotNull(), "parse_fallback").otherwise("error")
+    return held.withColumn("how", how).withColumn("grade", F.coalesce(graded, digit.cast("bigint")).cast("int")).drop("__body", "__v")
+
+
+def whole_grades(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose grade is a number, cut to a whole one."""
+    return df.withColumn(column, F.col(column).try_cast("double")).where(F.col(column).isNotNull() & ~F.isnan(column)).withColumn(column, F.col(column).cast("int"))
+
+
+def q_whole_grades(spark: SparkSession, d: str) -> DataFrame:
+    logs = table(spark, d, "query_logs").dropDuplicates(["id"])
+    made = F.get(F.array(*[F.lit(x) for x in ("2", "1.0", "x", "", "NaN")]), (F.col("id") % 6).cast("int"))
+    return whole_grades(logs.select("id", made.alias("relevance")), "relevance")
+
+
+def q_judged(spark: SparkSession, d: str) -> DataFrame:
+    """Judged pairs of a query in order of their grades, the best first."""
+    logs = table(spark, d, "query_logs").dropDuplicates(["id"]).where("top_k_chunk_ids is not null")
+    judged = logs.select("id", F.explode(F.array_distinct("top_k_chunk_ids")).alias("chunk_no")).withColumn("relevance", (F.col("chunk_no") % 3).cast("int"))
+    return judged.groupBy("id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("relevance")).alias("r"), "chunk_no"))), lambda x: x["chunk_no"].cast("string")), ",").alias("chunks"))
 
 
 def q_metadata(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +230,7 @@ def q_event_props(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "left_join_enrich": q_left_join, "inner_join_retrievable": q_inner_join, "not_in_null_aware": q_not_in, "upsert_partial_columns": q_upsert_partial, "upsert_full": q_upsert_full, "get_or_create_dim": q_dims,
-    "insert_ignore": q_insert_ignore, "embedding_update": q_embedding_update, "resume_left_merge": q_resume, "distinct_queries_by_weekday": q_distinct_queries, "watermark_incremental": q_watermark,
+    "insert_ignore": q_insert_ignore, "embedding_update": q_embedding_update, "missing_vectors": q_missing_vectors, "whole_grades": q_whole_grades, "judged_in_order": q_judged, "resume_left_merge": q_resume, "distinct_queries_by_weekday": q_distinct_queries, "watermark_incremental": q_watermark,
     "top_sources": q_top_sources, "load_summary": q_load_summary, "count_reconciliation": q_reconcile, "llm_reply_parse": q_reply, "metadata_state": q_metadata, "pricing_summary": q_pricing, "supplier_part_quantity": q_supplier_part, "event_props": q_event_props,
 }
 
@@ -195,17 +251,22 @@ SQL = {
         WITH f AS (SELECT lower({_STRIP.format('company')}) AS k, min({_STRIP.format('company')}) AS company_name FROM processed_documents WHERE NOT ({_BLANK.format('company')}) GROUP BY 1)
         SELECT company_id, company_name FROM companies UNION ALL SELECT (SELECT max(company_id) FROM companies) + row_number() OVER (ORDER BY k), company_name FROM f WHERE k NOT IN (SELECT lower({_STRIP.format('company_name')}) FROM companies)""",
     "insert_ignore": "SELECT chunk_id, document_id, CASE WHEN word_count < 300 THEN word_count ELSE -1 END AS word_count FROM (SELECT DISTINCT ON (chunk_id) * FROM document_chunks)",
-    "embedding_update": "SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN -1 ELSE label END AS label FROM embeddings",
+    "missing_vectors": "SELECT DISTINCT chunk_id, chunk_no FROM document_chunks WHERE embedding IS NULL",
+    "embedding_update": "SELECT chunk_id, coalesce(len(embedding), 384) AS dims, CASE WHEN embedding IS NULL THEN round((1 / 384)::FLOAT::DOUBLE, 6) ELSE round(embedding[1]::DOUBLE, 6) END AS first FROM (SELECT DISTINCT ON (chunk_id) * FROM document_chunks)",
+    "whole_grades": "SELECT id, CASE id % 6 WHEN 0 THEN 2 ELSE 1 END AS relevance FROM (SELECT DISTINCT id FROM query_logs) WHERE id % 6 < 2",
+    "judged_in_order": "SELECT id, string_agg(chunk_no::VARCHAR, ',' ORDER BY chunk_no % 3 DESC, chunk_no) AS chunks FROM (SELECT DISTINCT id, unnest(top_k_chunk_ids) AS chunk_no FROM (SELECT DISTINCT ON (id) * FROM query_logs)) GROUP BY id",
     "resume_left_merge": "SELECT (id + chunk_no) % 2 <> 0 AS pending, count(*) AS n FROM (SELECT DISTINCT id, unnest(top_k_chunk_ids) AS chunk_no FROM (SELECT DISTINCT ON (id) * FROM query_logs)) GROUP BY 1",
     "distinct_queries_by_weekday": "SELECT dayofweek(logged_at AT TIME ZONE 'UTC') + 1 AS weekday, count(DISTINCT query_text) AS queries FROM query_logs WHERE query_text IS NOT NULL GROUP BY 1",
     "watermark_incremental": "SELECT CASE p WHEN 'geeksforgeeks' THEN 'gfg' WHEN 'geeks for geeks' THEN 'gfg' WHEN 'geeks' THEN 'gfg' WHEN 'medium.com' THEN 'medium' WHEN 'lc' THEN 'leetcode' WHEN 'leet code' THEN 'leetcode' ELSE p END AS platform, max(scraped_at) AS watermark, count(*) FILTER (scrape_batch_id = (SELECT max(scrape_batch_id) FROM scraped_documents)) AS in_newest FROM (SELECT *, " + _STRIP.format("lower(source_platform)") + " AS p FROM scraped_documents) GROUP BY 1",
     "top_sources": "SELECT source, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, source NULLS LAST LIMIT 10",
     "load_summary": f"SELECT scrape_batch_id, count(*) AS total, count(*) FILTER (NOT b) AS inserted, count(*) FILTER (b) AS skipped, coalesce(string_agg(record_no::VARCHAR, ',' ORDER BY record_no) FILTER (b), '') AS skipped_records FROM (SELECT *, {_BLANK.format('raw_content')} AS b FROM scraped_documents) GROUP BY 1",
     "count_reconciliation": "SELECT document_id, max(total_chunks) AS announced, count(*) AS delivered FROM (SELECT DISTINCT ON (chunk_id) * FROM document_chunks) GROUP BY 1 HAVING max(total_chunks) <> count(*)",
+    # what each form means is written out from the rule; the logged replies are parsed
     "llm_reply_parse": r"""
-        WITH r AS (SELECT id, regexp_replace(coalesce(CASE id % 4 WHEN 0 THEN '```json' || chr(10) || '{"relevance": ' || (id % 3) || '}' || chr(10) || '```' WHEN 1 THEN 'I would say 2.' WHEN 2 THEN 'no idea' ELSE llm_response END, ''), '```(?:json)?', '', 'g') AS b FROM (SELECT DISTINCT ON (id) * FROM query_logs)),
-        x AS (SELECT regexp_extract(b, '"relevance"\s*:\s*([0-2])\s*[,}]', 1) AS g, regexp_extract(b, '(?:^|[^0-9])([0-2])(?:[^0-9]|$)', 1) AS f FROM r)
-        SELECT CASE WHEN g <> '' THEN 'json' WHEN f <> '' THEN 'parse_fallback' ELSE 'error' END AS how, CASE WHEN g <> '' THEN g::INT WHEN f <> '' THEN f::INT END AS grade, count(*) AS n FROM x GROUP BY ALL""",
+        WITH l AS (SELECT id % 14 AS k, CASE WHEN id % 14 = 13 THEN trim(replace(replace(coalesce(llm_response, ''), '```json', ''), '```', ''), ' ' || chr(9) || chr(10) || chr(13)) END AS b FROM (SELECT DISTINCT ON (id) * FROM query_logs)),
+        j AS (SELECT *, CASE WHEN json_valid(b) THEN try_cast(json_extract_string(b, '$.relevance') AS BIGINT) END AS g FROM l)
+        SELECT CASE WHEN k IN (0, 3, 4, 8) OR (k = 13 AND g BETWEEN 0 AND 2) THEN 'json' WHEN k IN (1, 5, 6, 9, 10) OR (k = 13 AND regexp_matches(b, '[012]')) THEN 'parse_fallback' ELSE 'error' END AS how,
+          CASE WHEN k IN (0, 1, 5, 10) THEN 2 WHEN k IN (3, 4, 6, 8) THEN 1 WHEN k = 9 THEN 0 WHEN k = 13 AND g BETWEEN 0 AND 2 THEN g WHEN k = 13 THEN try_cast(nullif(regexp_extract(b, '[012]'), '') AS BIGINT) END AS grade, count(*) AS n FROM j GROUP BY ALL""",
     "metadata_state": "SELECT CASE WHEN source_metadata IS NULL THEN 'null' WHEN NOT json_valid(source_metadata) THEN 'broken' ELSE 'whole' END AS state, count(*) AS n FROM scraped_documents GROUP BY 1",
     "pricing_summary": "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, round(avg(l_discount), 6) AS avg_disc, count(*) AS n FROM lineitem WHERE l_shipdate <= '1998-09-02' GROUP BY ALL",
     "supplier_part_quantity": "SELECT s_name, p_brand, round(sum(l_quantity), 2) AS qty FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY ALL",

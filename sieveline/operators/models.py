@@ -125,7 +125,6 @@ QUERIES = {"hashed_embedding": q_hashed, "graded_results": q_graded, "reply_fail
 _BLANK = r"coalesce(regexp_replace({0}, '[ \t\n\r\f\v]+', '', 'g'), '') = ''"
 _W = r"list_filter(string_split_regex(lower({0}), '[ \t\n\r\f\v]+'), lambda x: x <> '')"
 SQL = {
-    "hashed_embedding": f"SELECT document_id, 64 AS dims, 1.0 AS norm FROM (SELECT DISTINCT * FROM processed_documents) WHERE NOT ({_BLANK.format('title')})",
     "graded_results": f"""
         WITH l AS (SELECT id, query_text, unnest(list_distinct(top_k_chunk_ids)) AS item_id FROM (SELECT DISTINCT ON (id) * FROM query_logs WHERE query_text IS NOT NULL AND top_k_chunk_ids IS NOT NULL)),
         c AS (SELECT chunk_no AS item_id, min(raw_text) AS b FROM document_chunks WHERE raw_text IS NOT NULL GROUP BY 1),

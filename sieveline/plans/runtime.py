@@ -13,7 +13,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
@@ -58,6 +58,8 @@ def staging_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="sieveline-")
@@ -101,6 +103,22 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], salts: int =
     return spread.join(repeated, [*keys, salt], how).drop(salt)
 
 
+def numbered_by(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` with ``name`` = 1, 2, 3, ... in the order of the unique column ``order``. Rows are sorted by ranges and
+    numbered within each; the ranges' sizes, one row for each, give the numbers they start from."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = staged(df.repartitionByRange(n, order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = {r["__range"]: r["count"] for r in parts.groupBy("__range").count().collect()}
+    starts, at = [], 0
+    for r in sorted(sizes):
+        starts.append((r, at))
+        at += sizes[r]
+    begins = spark.createDataFrame(starts, "__range int, __start bigint")
+    rank = F.row_number().over(Window.partitionBy("__range").orderBy(order))
+    return parts.join(F.broadcast(begins), "__range").withColumn(name, F.col("__start") + rank).drop("__range", "__start")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

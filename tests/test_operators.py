@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions import text
-from sieveline.operators import chunking, curation, dedup, evaluation, loading, monitoring, retrieval
+from sieveline.operators import chunking, curation, dedup, evaluation, loading, models, monitoring, retrieval
+from sieveline.plans.runtime import numbered_by
 from sieveline.sources import readers
 
 
@@ -29,6 +30,7 @@ def test_enum(spark):
 def test_rounds(spark):
     assert one(spark, "there were 5 rounds, one technical round", curation.num_rounds) == 5
     assert one(spark, "nothing", curation.num_rounds) is None
+    assert one(spark, "it was a 4 round process", curation.num_rounds) == 4 and one(spark, "12345 stages, " + "9" * 40 + " rounds", curation.num_rounds) == 12345
 
 
 def test_redact_counts(spark):
@@ -109,8 +111,49 @@ def test_drift_shift_floor(spark):
 
 
 def test_reply(spark):
-    df = spark.createDataFrame([('```json\n{"relevance": 2}\n```',), ("grade 1",), ("none",), (None,)], "reply string")
-    assert [(r["how"], r["grade"]) for r in loading.parse_reply(df).collect()] == [("json", 2), ("parse_fallback", 1), ("error", None), ("error", None)]
+    cases = {
+        '```json\n{"relevance": 2}\n```': ("json", 2), "grade 1": ("parse_fallback", 1), "none": ("error", None), "score: 12": ("parse_fallback", 1), '{"relevance": "2"}': ("json", 2), '{"relevance": 1.9}': ("json", 1),
+        '{"relevance": "2.0"}': ("parse_fallback", 2), '{"relevance": 7}': ("error", None), '{"relevance": 70}': ("parse_fallback", 0), '{"relevance": false}': ("json", 0), "": ("error", None), '[2]': ("parse_fallback", 2),
+    }
+    df = spark.createDataFrame([(r,) for r in [*cases, None]], "reply string")
+    assert {r["reply"]: (r["how"], r["grade"]) for r in loading.parse_reply(df).collect()} == {**cases, None: ("error", None)}
+
+
+def test_not_in_rules(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    other = spark.createDataFrame([("a",), ("a",)], "o string")
+    keys = lambda x: {r["k"] for r in loading.not_in(df, "k", x, "o").collect()}
+    assert keys(other) == {"b"} and keys(other.union(spark.createDataFrame([(None,)], "o string"))) == set() and keys(other.limit(0)) == {"a", "b", None}
+
+
+def test_numbers_in_order(spark):
+    df = spark.range(0, 500, 1, 7).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("k"))
+    assert [(r["k"], r["n"]) for r in numbered_by(df, "k", "n").orderBy("n").collect()] == [(f"{i:03}", i + 1) for i in range(500)]
+
+
+def test_dimension_ids(spark):
+    dim = spark.createDataFrame([(1, "Acme"), (7, "Beta")], "i int, n string")
+    values = spark.createDataFrame([(" acme ",), ("Zeta",), ("Gamma",), (None,), (" ",), ("zeta",)], "v string")
+    assert sorted(tuple(r) for r in loading.get_or_create(dim, "i", "n", values, "v").collect()) == [(1, "Acme"), (7, "Beta"), (8, "Gamma"), (9, "Zeta")]
+
+
+def test_paywall_broken_state(spark):
+    page = '<script>window.__APOLLO_STATE__ = {"Post:1": {"isLocked": true, </script><p>Subscribe to read</p>'
+    assert one(spark, page, readers.paywall) == "Paywall CTA" and one(spark, None, readers.paywall) is None and one(spark, "", readers.paywall) is None
+
+
+def test_projection(spark):
+    df = spark.createDataFrame([("d", "body")], "document_id string, raw_content string")
+    row = curation.project(df, renames={"raw_content": "content"}).first()
+    assert row.asDict() | {"document_id": "d", "content": "body"} == row.asDict() and list(row.asDict()) == curation.rules.TARGET and row["role"] is None
+
+
+def test_hashed_vectors(spark):
+    df = spark.createDataFrame([(1, "a a b"), (2, " "), (3, None), (4, "b A a")], "k int, t string")
+    got = {r["k"]: r["embedding"] for r in models.hashed_vectors(df, "k", "t").collect()}
+    slots = {w: spark.sql(f"SELECT pmod(xxhash64('{w}'), 64) AS s").first()["s"] for w in "ab"}
+    assert set(got) == {1, 4} and got[1] == got[4] and slots["a"] != slots["b"]
+    assert got[1][slots["a"]] == pytest.approx(2 / 5**0.5) and got[1][slots["b"]] == pytest.approx(1 / 5**0.5) and sum(map(bool, got[1])) == 2
 
 
 def test_sources(spark, tmp_path):
