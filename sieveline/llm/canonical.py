@@ -184,8 +184,9 @@ class Matcher:
 
 
 def spread_out(df: DataFrame, key: str) -> DataFrame:
-    """Small rows that cost much each: adaptive execution would put them into one task by their bytes."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
+    """Small rows that cost much each: adaptive execution would put them into one task by their bytes. They are dealt
+    out by a hash of the key, for a repartitioning by the key itself would be dropped after a join on it."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), F.xxhash64(key))
 
 
 def map_values(values: DataFrame, column: str, reference: DataFrame, entry_id: str, entry_name: str, entry_aliases: str) -> DataFrame:
