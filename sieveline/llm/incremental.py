@@ -15,6 +15,7 @@ order is correct, a good one keeps posting lists short. Of two records with a Ja
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -146,7 +147,7 @@ class HistoryIndex:
         found = staged(similar(pairs.join(theirs, "a").join(ours, "b").select("a", "b", "home", "sa", "sb"), self.share, self.of).select("a", "b", "home"), "p6-links")
         old = found.where(F.col("home") < base).select(F.col("b").alias("record")).distinct()
         rejected = self._resolve(found.where(F.col("home") >= base).select("a", "b"), old)
-        rejected.write.mode("append").parquet(f"{self.path}/rejected")
+        rejected.coalesce(1 + arrived // 1_000_000).write.mode("append").parquet(f"{self.path}/rejected")
         copies = sets.select("record").join(heads, "record", "left_anti")
         return rejected.union(copies)
 
@@ -157,17 +158,15 @@ class HistoryIndex:
     def _resolve(self, links: DataFrame, gone: DataFrame) -> DataFrame:
         """Walk the batch in order of record without a loop over records: a record without an open
         earlier neighbour is accepted, its later neighbours are rejected, until no link is open."""
-        rejected = staged(gone, "p6-gone")
+        parts = [staged(gone, "p6-gone")]
         while True:
-            for _ in range(2):
-                links = links.join(rejected.select(F.col("record").alias("a")), "a", "left_anti").join(rejected.select(F.col("record").alias("b")), "b", "left_anti")
-                heads = links.select("a").distinct().join(links.select(F.col("b").alias("a")), "a", "left_anti")
-                rejected = rejected.union(links.join(heads, "a").select(F.col("b").alias("record"))).distinct()
-            rejected = staged(rejected, "p6-rejected")
-            links = links.join(rejected.select(F.col("record").alias("a")), "a", "left_anti").join(rejected.select(F.col("record").alias("b")), "b", "left_anti")
+            of_a, of_b = (parts[-1].select(F.col("record").alias(x)) for x in "ab")
+            links = staged(links.join(of_a, "a", "left_anti").join(of_b, "b", "left_anti"), "p6-open")
             if links.isEmpty():
-                return rejected
-            links = staged(links, "p6-open")
+                break
+            heads = links.select("a").distinct().join(links.select(F.col("b").alias("a")), "a", "left_anti")
+            parts.append(staged(links.join(heads, "a", "left_semi").select(F.col("b").alias("record")).distinct(), "p6-hit"))
+        return functools.reduce(DataFrame.union, parts)
 
 
 def arrivals(batches: list[tuple[str, int]]) -> list[list[str]]:

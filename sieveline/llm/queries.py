@@ -97,7 +97,7 @@ _SETS = r"""
     g AS (SELECT DISTINCT record_no, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT record_no, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
     n AS (SELECT record_no, count(*) AS n FROM g GROUP BY 1 HAVING count(*) >= 10),
     h AS (SELECT record_no, s, n FROM g JOIN n USING (record_no)),
-    pairs AS (SELECT a.record_no AS record_a, b.record_no AS record_b FROM h a JOIN h b ON a.s = b.s AND a.record_no < b.record_no GROUP BY a.record_no, b.record_no, a.n, b.n HAVING 100 * count(*) >= 70 * (a.n + b.n - count(*)))"""
+    pairs AS MATERIALIZED (SELECT a.record_no AS record_a, b.record_no AS record_b FROM h a JOIN h b ON a.s = b.s AND a.record_no < b.record_no GROUP BY a.record_no, b.record_no, a.n, b.n HAVING 100 * count(*) >= 70 * (a.n + b.n - count(*)))"""
 _FINE = "len({0}) = 384 AND list_bool_and(list_transform({0}, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform({0}, lambda x: x <> 0))"
 SQL = {
     "p1_found": f"WITH {_SETS} SELECT record_a, record_b FROM pairs",
@@ -117,7 +117,7 @@ SQL = {
     "p6_found": f"""WITH RECURSIVE {_SETS},
         o AS (SELECT record_no, row_number() OVER (ORDER BY coalesce(scrape_batch_id, ''), record_no) AS i FROM w),
         e AS (SELECT greatest(x.i, y.i) AS i, least(x.i, y.i) AS before FROM pairs JOIN o x ON x.record_no = record_a JOIN o y ON y.record_no = record_b),
-        steps AS (SELECT i, list(before) AS before, row_number() OVER (ORDER BY i) AS k FROM e GROUP BY i),
+        steps AS MATERIALIZED (SELECT i, list(before) AS before, row_number() OVER (ORDER BY i) AS k FROM e GROUP BY i),
         walk(k, rejected) AS (
           SELECT 0::BIGINT, []::BIGINT[]
           UNION ALL
