@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sieveline.functions import rules, text
 from sieveline.functions.entities import alias_map, named
 from sieveline.operators.dedup import near_dup_keep
-from sieveline.plans.runtime import staged, table
+from sieveline.plans.runtime import ensure_spread, staged, table
 
 
 # --- steps --------------------------------------------------------------------------------------------
@@ -204,6 +204,11 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "scraped_documents")
 
 
+def _spread(spark: SparkSession, d: str) -> DataFrame:
+    """The same for work that costs much a row: a small file would be one task."""
+    return ensure_spread(_raw(spark, d))
+
+
 STEPS = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator", "entity_extractor", "schema_validator"]
 
 
@@ -213,7 +218,7 @@ def _run(spark: SparkSession, d: str) -> DataFrame:
         "deduplicator": {"existing": table(spark, d, "processed_documents")},
         "entity_extractor": {"companies": table(spark, d, "companies"), "roles": table(spark, d, "role_titles")},
     }
-    return run_pipeline(_raw(spark, d).drop("content_hash"), [(s, options.get(s, {})) for s in STEPS])
+    return run_pipeline(_spread(spark, d).drop("content_hash"), [(s, options.get(s, {})) for s in STEPS])
 
 
 def q_pipeline(spark: SparkSession, d: str) -> DataFrame:
@@ -252,16 +257,16 @@ def q_language(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pii_counts(spark: SparkSession, d: str) -> DataFrame:
-    out = redact(_raw(spark, d).select("record_no", F.col("raw_content").alias("content")))
+    out = redact(_spread(spark, d).select("record_no", F.col("raw_content").alias("content")))
     return out.select("record_no", F.explode("pii_counts").alias("pii_type", "n"))
 
 
 def q_pii_redact(spark: SparkSession, d: str) -> DataFrame:
-    return redact(_raw(spark, d).select("record_no", F.col("raw_content").alias("content"))).select("record_no", "content")
+    return redact(_spread(spark, d).select("record_no", F.col("raw_content").alias("content"))).select("record_no", "content")
 
 
 def q_pii_portable(spark: SparkSession, d: str) -> DataFrame:
-    out = redact(_raw(spark, d).select("record_no", F.col("raw_content").alias("content")), pii=[r for r in rules.PII if r[0] == "email"])
+    out = redact(_spread(spark, d).select("record_no", F.col("raw_content").alias("content")), pii=[r for r in rules.PII if r[0] == "email"])
     return out.select("record_no", "content", F.coalesce(F.element_at("pii_counts", "email"), F.lit(0)).cast("bigint").alias("emails"))
 
 
