@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +101,26 @@ def test_vector_topk_ignores_bad_vectors(spark):
     assert retrieval.vector_topk(items.limit(0), items, 3).count() == 0
 
 
+def test_bm25_meets_by_blocks(spark):
+    r, words = random.Random(4), [f"w{i}" for i in range(60)]
+    texts = [(i, " ".join(["The", *r.choices(words, k=r.randint(3, 30))])) for i in range(700)]
+    texts += [(i, texts[i - 700][1]) for i in range(700, 720)] + [(720, ""), (721, " \n"), (722, "odd")]
+    asked = [(i, " ".join(["the", *r.choices(words, k=4)])) for i in range(40)] + [(40, "the"), (41, "unknown"), (42, ""), (43, "ODD w1 odd")]
+    df = retrieval.bm25(spark.createDataFrame(asked, "query_id int, query_text string"), spark.createDataFrame(texts, "item_id int, body string"), 10)
+    got = {(x["query_id"], x["item_id"], x["score"], x["rank"]) for x in df.collect()}
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()  # documents that share a term are never listed as pairs
+    held = {i: Counter(t.lower().split()) for i, t in texts}
+    mean = sum(sum(c.values()) for c in held.values()) / len(held)
+    raw = {t: math.log((len(held) - n + 0.5) / (n + 0.5)) for t, n in Counter(t for c in held.values() for t in c).items()}
+    idf = {t: x if x >= 0 else 0.25 * sum(raw.values()) / len(raw) for t, x in raw.items()}
+    want = set()
+    for q, t in asked:
+        terms = Counter(t.lower().split())
+        scores = ((round(sum(f * idf[w] * c[w] * 2.5 / (c[w] + 1.5 * (0.25 + 0.75 * sum(c.values()) / mean)) for w, f in terms.items() if w in c), 6), i) for i, c in held.items())
+        want |= {(q, i, s, n) for n, (s, i) in enumerate(sorted((x for x in scores if x[0] > 0), key=lambda x: (-x[0], x[1]))[:10], 1)}
+    assert got == want
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, p string, q string")
     new = spark.createDataFrame([(2, "B", "Y"), (3, "C", "Z")], "k int, p string, q string")
