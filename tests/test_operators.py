@@ -121,6 +121,18 @@ def test_bm25_meets_by_blocks(spark):
     assert got == want
 
 
+def test_matches_all_by_blocks(spark):
+    r, words = random.Random(5), [f"w{i}" for i in range(12)]
+    texts = [(i, " ".join(["The", *r.choices(words, k=r.randint(1, 12))])) for i in range(1200)] + [(None, "w1 w2 w3"), (1201, ""), (1202, "of")]
+    asked = [(i, " ".join(["the", *r.choices(words, k=r.randint(1, 5))])) for i in range(40)] + [(40, "the of"), (41, "w1 unknown"), (42, " "), (43, "W1\tw1 OF")]
+    df = retrieval.matches_all(spark.createDataFrame(asked, "query_id int, query_text string"), spark.createDataFrame(texts, "item_id int, body string"), ["the", "of"])
+    got = [(x["query_id"], x["item_id"]) for x in df.collect()]
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()  # documents that share a term are never listed as pairs
+    needed = {q: set(t.lower().split()) - {"the", "of"} for q, t in asked}
+    want = {(q, i) for q, n in needed.items() for i, t in texts if n and n <= set(t.lower().split())}
+    assert set(got) == want and len(got) == len(want) and (43, None) in want
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, p string, q string")
     new = spark.createDataFrame([(2, "B", "Y"), (3, "C", "Z")], "k int, p string, q string")
