@@ -6,10 +6,10 @@ cells in order of the summed distance with a heap until they hold enough entries
 their exact cosine.
 
 Spread over a cluster: only the count of every cell (at most ``K * K`` numbers) reaches the driver, which
-joins neighbouring cells to regions of like size. Vectors are keyed by region, queries go to the regions
+cuts the cells into regions of neighbours, of bounded size. Vectors are keyed by region, queries go to the regions
 their cells lie in with the list of those cells, and each region's task multiplies matrices cell by cell.
-A region with more entries than a block holds is cut into blocks by a hash of the vector, one with more
-queries than a block holds into blocks of queries, so no task grows with the data. Equal vectors are
+A region of a single cell with more entries than a block holds is cut into blocks by a hash of the vector, one
+with more queries than a block holds into blocks of queries, so no task grows with the data. Equal vectors are
 indexed once and carry the smallest of their ids; equal queries are searched once.
 """
 
@@ -96,19 +96,42 @@ class Quantiser:
         return nearest(m[:, : self.half], self.first) * len(self.second) + nearest(m[:, self.half :], self.second)
 
     def arrange(self, counts: dict[int, int], region_rows: int) -> None:
-        """Join occupied cells to regions of about ``region_rows`` entries by their centroids' nearness."""
-        width = len(self.second)
+        """Cut the occupied cells into regions of ``region_rows`` entries at most, across the widest axis of their
+        centroids again and again; only a region of a single cell may hold more."""
         cells = np.array(sorted(counts), np.int64)
-        self.region = {}
-        if len(cells):
-            places = np.hstack([self.first[cells // width], self.second[cells % width]])
-            wanted = int(np.clip(np.ceil(sum(counts.values()) / region_rows), 1, min(len(cells), 4096)))
-            label = nearest(places, kmeans(places, wanted)) if wanted > 1 else np.zeros(len(cells), int)
-            self.region = dict(zip(cells.tolist(), label.tolist(), strict=True))
+        rows = np.array([counts[c] for c in cells.tolist()], np.int64)
+        todo, self.region, regions = [np.arange(len(cells))] if len(cells) else [], {}, 0
+        while todo:
+            own = todo.pop()
+            total = int(rows[own].sum())
+            if total <= region_rows or len(own) == 1:
+                self.region.update(dict.fromkeys(cells[own].tolist(), regions))
+                regions += 1
+                continue
+            own = own[np.argsort(self.along(cells[own], rows[own]), kind="stable")]
+            parts = -(-total // region_rows)
+            cut = np.searchsorted(np.cumsum(rows[own]), total * (parts // 2) / parts)
+            cut = int(np.clip(cut, 1, len(own) - 1))
+            todo += [own[:cut], own[cut:]]
         self.counts = counts
         self.rows: dict[int, set[int]] = {}
         for c in counts:
-            self.rows.setdefault(c // width, set()).add(c % width)
+            self.rows.setdefault(c // len(self.second), set()).add(c % len(self.second))
+
+    def along(self, cells: np.ndarray, rows: np.ndarray, rounds: int = 20) -> np.ndarray:
+        """Where the cells' centroids lie on the axis of their largest variance, by power iteration on the halves."""
+        i, j = np.divmod(cells, len(self.second))
+        rng = np.random.default_rng(7)
+        a, b = rng.normal(size=self.first.shape[1]), rng.normal(size=self.second.shape[1])
+        for _ in range(rounds):
+            x = (self.first @ a)[i] + (self.second @ b)[j]
+            x = (x - np.average(x, weights=rows)) * rows
+            a, b = self.first.T @ np.bincount(i, x, len(self.first)), self.second.T @ np.bincount(j, x, len(self.second))
+            norm = np.sqrt(a @ a + b @ b)
+            if not norm:
+                break
+            a, b = a / norm, b / norm
+        return (self.first @ a)[i] + (self.second @ b)[j]
 
     def walk(self, m: np.ndarray, enough: int) -> Iterator[list[int]]:
         """For every vector of ``m`` the occupied cells in order of summed distance until they hold
@@ -221,12 +244,13 @@ def nearest_vectors(
 
     placed = staged(entry_vectors.join(carried, ["h1", "h2"]).mapInArrow(place, f"h1 bigint, h2 bigint, v binary, ids array<{kinds[1]}>, cell int"), "p3-cells")
     counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # one small row for each occupied cell, 1024**2 at most
-    quantiser.arrange(counts, block)
+    # large regions: a query's vector goes once to each region that its cells lie in
+    quantiser.arrange(counts, 4 * block)
     enough = max(floor, int(reach * total**0.75))
     sizes: dict[int, int] = {}
     for cell, region in quantiser.region.items():
         sizes[region] = sizes.get(region, 0) + counts[cell]
-    blocks = {r: -(-n // block) for r, n in sizes.items()}
+    blocks = {r: -(-n // (4 * block)) for r, n in sizes.items()}
 
     arranged = spark.sparkContext.broadcast(quantiser)  # one count and one region for each occupied cell
 
@@ -288,8 +312,9 @@ def nearest_vectors(
         hit_q, hit_e, hit_s = [], [], []
         for c, who in asking.items():
             s, t = span[c]
-            for at in range(0, len(who), 2048):
-                part = np.array(who[at : at + 2048])
+            step = 2048 if t - s <= block else 512  # scores of a large cell take no more memory
+            for at in range(0, len(who), step):
+                part = np.array(who[at : at + step])
                 score = qu[part] @ eu[s:t].T
                 if t - s > 2 * k:  # a float32 score that could still round into the k best is kept
                     edge = np.partition(score, t - s - k, axis=1)[:, t - s - k] - 2e-6

@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -175,6 +176,28 @@ def test_nearest_vectors(spark):
     assert multiindex.nearest_vectors(queries, "id", "query_embedding", entries.limit(0), "chunk_id", "embedding", width=16).count() == 0
 
 
+def test_regions_are_bounded(spark):
+    r = np.random.default_rng(5)
+    sample = np.concatenate([c + 0.05 * r.normal(size=(n, 16)) for c, n in zip(r.normal(size=(6, 16)), (2000, 500, 200, 60, 20, 5), strict=True)])
+    q = multiindex.Quantiser(multiindex.unit(sample), 24)
+    counts = Counter(q.cells(multiindex.unit(sample)).tolist())
+    q.arrange(dict(counts), 300)
+    sizes, cells = Counter(), Counter()
+    for cell, region in q.region.items():
+        sizes[region] += counts[cell]
+        cells[region] += 1
+    assert set(q.region) == set(counts) and sum(sizes.values()) == len(sample)
+    assert all(n <= 300 or cells[x] == 1 for x, n in sizes.items())
+    q.arrange({}, 300)
+    assert q.region == {}
+    # many regions, a cell larger than a region, and blocks of queries give the same answers as one region
+    rows = [(f"c{i}", v) for i, v in enumerate(sample[1900:2300].astype(np.float32).tolist())]
+    df = spark.createDataFrame(rows, "chunk_id string, v array<float>")
+    asked = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(rows[::4])], "id int, v array<float>")
+    found = lambda block: {tuple(x) for x in multiindex.nearest_vectors(asked, "id", "v", df, "chunk_id", "v", width=16, floor=100, block=block).collect()}
+    assert found(4) == found(8192)
+
+
 def test_split():
     body = "\n".join(["Intro text here. " * 20, "**Round 1 – Coding**", "They asked a thing. " * 300, "Number of rounds: 3", "HR round", "We spoke. " * 10, "word " * 700])
     pieces = splitting.split(body)
