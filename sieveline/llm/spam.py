@@ -134,7 +134,8 @@ def stretches(w: Words, least: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(stop[:-1] & _SPACE[data[1:]])
     wide = np.flatnonzero((data[:-2] == 0xE0) & (data[1:-1] == 0xA5) & ((data[2:] == 0xA4) | (data[2:] == 0xA5)) | (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] == 0xA6))
     wide = np.r_[wide, np.flatnonzero((data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (data[2:] == 0x82))]
-    edges = np.unique(np.searchsorted(w.start, np.sort(np.r_[at, wide, w.ends])))
+    edges = np.searchsorted(w.start, np.sort(np.r_[at, wide, w.ends]))
+    edges = edges[np.r_[True, edges[1:] != edges[:-1]][: len(edges)]]
     first = np.r_[0, edges[:-1]] if len(edges) else edges
     keep = edges - first >= least
     return first[keep], edges[keep]
@@ -269,10 +270,11 @@ def longs(x: np.ndarray) -> pa.Array:
 
 
 def _spread_mask(n: int, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, stop, -1)
-    return np.cumsum(edge)[:n] > 0
+    """Which of ``n`` places lie in the spans; these must not overlap."""
+    edge = np.zeros(n + 1, np.int8)
+    edge[start] += 1
+    edge[stop] -= 1
+    return np.cumsum(edge, dtype=np.int8)[:n] > 0
 
 
 def examine(w: Words, share: float, least: int):  # noqa: ANN201
@@ -349,13 +351,24 @@ def blocks(column: pa.Array, size: int) -> Iterator[tuple[int, list[bytes]]]:
         yield at, texts
 
 
+def fresh(g: np.ndarray, known: set[int], limit: int = 500_000) -> np.ndarray:
+    """Which of the distinct runs ``g`` were not given out lately; they are added to ``known``, of bounded size."""
+    if len(known) >= limit:
+        known.clear()
+    keys = g.tolist()
+    new = np.fromiter((x not in known for x in keys), bool, len(keys))
+    known.update(keys)
+    return new
+
+
 def examined(texts: DataFrame, share: float, least: int, block: int = 1_000_000) -> DataFrame:
-    """One pass over (h1, h2, t), a block of about ``block`` bytes at a time. Rows of four kinds:
+    """One pass over (h1, h2, t), a block of about ``block`` bytes at a time. Rows of five kinds:
 
     * ``page``: texts that could be flagged, with their runs repeated three times, and stretches in bytes;
     * ``phrase``: such a run ``g`` and its joints;
     * ``habit``: runs that texts repeat, in how many texts, and in how many three times or more;
-    * ``count``: keys of words (even) and of pairs of neighbouring words (odd) and how often they occur.
+    * ``count``: keys of words (even) and of pairs of neighbouring words (odd) and how often they occur;
+    * ``total``: how many words there are.
     """
 
     def tally_rows(what: str, tally: Tally) -> pa.RecordBatch:
@@ -363,12 +376,13 @@ def examined(texts: DataFrame, share: float, least: int, block: int = 1_000_000)
         return rows_of(len(g), what=pa.array([what] * len(g), pa.string()), g=longs(g), n=pa.array(n.astype(np.int64)), m=pa.array(m))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        habits, counts, known = Tally(), Tally(), np.empty(0, np.uint64)
+        habits, counts, known, total = Tally(), Tally(), set(), 0
         for batch in batches:
             for at, own in blocks(batch.column(2), block):
                 found, pages, phrases, words, joints = examine(Words(own), share, least)
                 counts.add(words)
                 counts.add(joints)
+                total += len(words)
                 for g, often in found:
                     habits.add(g, often)
                 if pages:
@@ -377,8 +391,7 @@ def examined(texts: DataFrame, share: float, least: int, block: int = 1_000_000)
                     kept = [pa.array([p[2] for p in pages], _SCHEMA.field("stretches").type)]
                     yield rows_of(len(rows), h1=batch.column(0).take(rows), h2=batch.column(1).take(rows), t=batch.column(2).take(rows), repeats=repeats, stretches=kept[0], what=pa.array(["page"] * len(rows), pa.string()))
                 for g, *lists in phrases:
-                    new = ~np.isin(g, known)  # runs given out lately are not repeated
-                    known = np.r_[known, g[new]] if len(known) < 500_000 else g[new]
+                    new = fresh(g, known)
                     n, width = int(new.sum()), lists[0].shape[1]
                     offsets = pa.array(np.arange(0, n * width + 1, width), pa.int32())
                     three = {name: pa.ListArray.from_arrays(offsets, longs(x[new].reshape(-1))) for name, x in zip(("pairs", "firsts", "seconds"), lists, strict=True)}
@@ -389,6 +402,7 @@ def examined(texts: DataFrame, share: float, least: int, block: int = 1_000_000)
                     yield tally_rows("count", counts)
         yield tally_rows("habit", habits)
         yield tally_rows("count", counts)
+        yield rows_of(1, what=pa.array(["total"]), n=pa.array([total], pa.int64()))
 
     return texts.mapInArrow(run, _ROWS)
 
@@ -432,7 +446,7 @@ def stuffed_pages(df: DataFrame, key: str, text: str, share: float = 0.5, hammer
 
     # the counts of the words and pairs that are asked for, then each kind of joint is weighed once
     counts = seen.where("what = 'count'").select("g", "n")
-    total = counts.where(F.col("g").bitwiseAND(F.lit(1)) == 0).agg(F.sum("n")).first()[0] or 1
+    total = seen.where("what = 'total'").agg(F.sum("n")).first()[0] or 1
     kinds = staged(in_runs.select("p", "a", "b").union(in_stretches.select("p", "a", "b")).distinct(), "p9-kinds")
     needed = kinds.select(F.explode(F.array("p", "a", "b")).alias("g")).distinct()
     held = staged(counts.join(needed, "g", "left_semi").groupBy("g").agg(F.sum("n").alias("n")), "p9-needed")

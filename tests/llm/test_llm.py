@@ -283,6 +283,21 @@ def test_salad_and_collocations(spark):
     assert found(coherent=None) == {202} and found(bound=None) == {201, 202, 400, 401, 402} and found(bound=None, coherent=None) == set()
 
 
+def test_examined_totals_and_runs_once(spark):
+    known = set()
+    g = np.array([5, 7, 1 << 63], np.uint64)
+    assert spam.fresh(g, known).tolist() == [True] * 3 and spam.fresh(g[1:], known).tolist() == [False] * 2
+    assert spam.fresh(np.array([7, 9], np.uint64), known, limit=3).tolist() == [True, True] and known == {7, 9}  # full: forgotten
+    assert len(spam.stretches(spam.Words([]), 1)[0]) == 0
+    assert spam._spread_mask(6, np.array([1, 3]), np.array([3, 5])).tolist() == [False, True, True, True, True, False]
+    page = "cheap course near me, " * 40
+    df = spark.createDataFrame([(1, 1, page), (2, 1, page + "now."), (3, 1, "a b. c")], "h1 bigint, h2 bigint, t string").coalesce(1)
+    rows = spam.examined(df, 0.5, 30, block=100).collect()
+    phrases = [r["g"] for r in rows if r["what"] == "phrase"]
+    assert len(phrases) == len(set(phrases)) > 0
+    assert sum(r["n"] for r in rows if r["what"] == "total") == sum(r["n"] for r in rows if r["what"] == "count" and r["g"] % 2 == 0) == 160 + 161 + 3
+
+
 def test_words_of_bytes():
     texts = ["Ünder the  BRIDGE’s end", "", "```x = 1```tail", "a\u200b b — c ★ 😀 हिन्दी।", "É é"]
     w = spam.Words([t.encode() for t in texts])
